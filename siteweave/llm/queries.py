@@ -2,12 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm import line_dedup, mixing
+from siteweave.llm import bpe, line_dedup, media, mixing, rules, warc
 from siteweave.llm.common import table
 
+#: The rank file of the byte-level BPE queries, and the pattern of its pre-tokens.
+BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """All texts encoded to ids and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", bpe.digest_column(F.col("text"), path or public_tokenizers.path(BPE_FILE), pattern).alias("d")).select("doc_id", "d.*")
+
+
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts stored as pictures, read back, with features."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", media.digest_column(F.col("text")).alias("d")).select("doc_id", "d.*")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by the base rule and a decision list learned from the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = rules.fit(docs, table(spark, sf_dir, "labels"))
+    out = rules.judge(docs, learned)
+    named = [F.col(f"__stats.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return out.select("doc_id", *named, F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    read = warc.round_trip(pages)
+    kind = pages.schema["page_id"].dataType
+    return read.select(F.expr("nullif(record_id, 'null')").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Systematic sampling of all documents to the weights 3, 1, 2; in small tables the words taken come near the target too."""
@@ -49,5 +82,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
 """
 
-QUERIES = {"op4_mixing": op4_mixing, "op6_line_dedup": op6_line_dedup}
-ORACLES = {"op4_mixing": OP4_SQL, "op6_line_dedup": OP6_SQL}
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f
+"""
+
+QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe, "op3_media": op3_media, "op5_quality_rules": op5_quality_rules, "op8_warc": op8_warc,
+    "op4_mixing": op4_mixing, "op6_line_dedup": op6_line_dedup,
+}
+ORACLES = {"op8_warc": OP8_SQL, "op4_mixing": OP4_SQL, "op6_line_dedup": OP6_SQL}
