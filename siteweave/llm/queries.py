@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm import bpe, line_dedup, media, mixing, rules, warc
+from siteweave.llm import bpe, html_text, line_dedup, media, mixing, near_dedup, rules, warc
 from siteweave.llm.common import table
 
 #: The rank file of the byte-level BPE queries, and the pattern of its pre-tokens.
@@ -56,6 +56,19 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), F.sha2(F.col("__kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    read = pages.select("page_id", "url", html_text.main_text_column(F.col("html")).alias("text"))
+    return read.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles agree to 85 %."""
+    found = near_dedup.assign(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_rows, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
@@ -93,5 +106,6 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe, "op3_media": op3_media, "op5_quality_rules": op5_quality_rules, "op8_warc": op8_warc,
     "op4_mixing": op4_mixing, "op6_line_dedup": op6_line_dedup,
+    "op9_html_text": op9_html_text, "op10_near_dedup": op10_near_dedup,
 }
 ORACLES = {"op8_warc": OP8_SQL, "op4_mixing": OP4_SQL, "op6_line_dedup": OP6_SQL}
