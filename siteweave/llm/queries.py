@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm import bpe, html_text, line_dedup, media, mixing, near_dedup, rules, warc
+from siteweave.llm import bpe, html_text, line_dedup, media, mixing, near_dedup, rules, suffix_dedup, warc
 from siteweave.llm.common import table
 
 #: The rank file of the byte-level BPE queries, and the pattern of its pre-tokens.
@@ -34,6 +34,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *named, F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that lie in a repeated string of 200 bytes are removed."""
+    docs = suffix_dedup.with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", suffix_dedup.digest_column(F.col("text"), F.col("__intervals"), F.col("__windows")).alias("d")).select("doc_id", "d.*")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -106,6 +112,6 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe, "op3_media": op3_media, "op5_quality_rules": op5_quality_rules, "op8_warc": op8_warc,
     "op4_mixing": op4_mixing, "op6_line_dedup": op6_line_dedup,
-    "op9_html_text": op9_html_text, "op10_near_dedup": op10_near_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup, "op9_html_text": op9_html_text, "op10_near_dedup": op10_near_dedup,
 }
 ORACLES = {"op8_warc": OP8_SQL, "op4_mixing": OP4_SQL, "op6_line_dedup": OP6_SQL}
