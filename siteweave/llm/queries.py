@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.llm import bpe, html_text, line_dedup, media, mixing, near_dedup, rules, suffix_dedup, warc
+from siteweave.llm import bpe, html_text, line_dedup, media, mixing, near_dedup, quality, rules, suffix_dedup, warc
 from siteweave.llm.common import table
 
 #: The rank file of the byte-level BPE queries, and the pattern of its pre-tokens.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a classifier that learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    out = quality.score(docs, model)
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), F.when(F.col("__score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """All texts encoded to ids and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -110,7 +118,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 """
 
 QUERIES = {
-    "op2_byte_bpe": op2_byte_bpe, "op3_media": op3_media, "op5_quality_rules": op5_quality_rules, "op8_warc": op8_warc,
+    "op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_media": op3_media, "op5_quality_rules": op5_quality_rules, "op8_warc": op8_warc,
     "op4_mixing": op4_mixing, "op6_line_dedup": op6_line_dedup,
     "op7_suffix_dedup": op7_suffix_dedup, "op9_html_text": op9_html_text, "op10_near_dedup": op10_near_dedup,
 }

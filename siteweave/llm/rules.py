@@ -144,6 +144,11 @@ def _best_condition(rows: dict[str, np.ndarray], bad: np.ndarray) -> tuple[float
     return best, found
 
 
+def _tightest(rule: tuple[Condition, ...]) -> tuple[Condition, ...]:
+    """Without conditions that a later one on the same feature and side makes needless."""
+    return tuple(c for k, c in enumerate(rule) if not any((d.feature, d.above) == (c.feature, c.above) for d in rule[k + 1 :]))
+
+
 def learn(table: pd.DataFrame) -> DecisionList:
     """From rows of FEATURES and ``quality`` (1 good, 0 bad), in their order: every third row is for pruning."""
     bad = (table["quality"].to_numpy() == 0).astype(np.int64)
@@ -174,6 +179,7 @@ def learn(table: pd.DataFrame) -> DecisionList:
             rule = rule[:-1]
         if not rule:
             break
+        rule = _tightest(rule)
         held = _cover(rule, rest, int(test.sum()))
         grown = _cover(rule, columns, len(bad)) & grow
         precise = min(bad[grown].mean() if grown.any() else 0, bad[test][held].mean() if held.any() else bad[grown].mean())
