@@ -72,7 +72,7 @@ def token_set_native(a: Column, b: Column) -> Column:
         return F.aggregate(
             F.arrays_zip(places.alias("c"), F.slice(above, 1, lb).alias("d"), F.slice(above, 2, lb).alias("u")),
             F.array(F.lit(0)),
-            lambda acc, x: F.concat(acc, F.array(F.when(x["0"] == c, x["1"] + 1).otherwise(F.greatest(x["2"], F.element_at(acc, -1))))),
+            lambda acc, x: F.concat(acc, F.array(F.when(x["c"] == c, x["d"] + 1).otherwise(F.greatest(x["u"], F.element_at(acc, -1))))),
         )
 
     lcs = F.element_at(F.aggregate(F.filter(F.split(only_a, ""), lambda c: c != ""), F.array_repeat(F.lit(0), lb + 1), row), -1)
