@@ -60,9 +60,13 @@ def fold_exact(value: Column) -> Column:
     return folded(value.cast("string"))
 
 
-def compact(value: Column) -> Column:
-    """Lower-case words of a-z and 0-9, parted by single spaces; ``&`` is the word and."""
-    text = F.replace(F.lower(ascii_text(value)), F.lit("&"), F.lit(" and "))
+def _base(value: Column, folded: bool) -> Column:
+    return value if folded else ascii_text(value)
+
+
+def compact(value: Column, folded: bool = False) -> Column:
+    """Lower-case words of a-z and 0-9, parted by single spaces; ``&`` is the word and. ``folded``: value is an ascii_text."""
+    text = F.replace(F.lower(_base(value, folded)), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
@@ -71,38 +75,43 @@ def words(compacted: Column) -> Column:
 
 
 def _literals(values: tuple[str, ...] | list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+
+
+def _map(table: dict[str, str]) -> Column:
+    """A literal map, by SQL text: one call to the JVM instead of one for each entry."""
+    return F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in table.items()) + ")")
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key), key)
+    return F.coalesce(F.try_element_at(_map(table), key), key)
 
 
 def _without(compacted: Column, gone: tuple[str, ...]) -> Column:
     return F.array_join(F.filter(words(compacted), lambda t: ~F.array_contains(_literals(gone), t)), " ")
 
 
-def country(value: Column) -> Column:
+def country(value: Column, folded: bool = False) -> Column:
     """The country's standard name for its aliases, with or without ``the``; other names as they are."""
-    return F.when(_without(compact(value), ("the",)).isin(*config.COUNTRY_ALIASES), F.lit(config.COUNTRY)).otherwise(ascii_text(value))
+    return F.when(_without(compact(value, folded), ("the",)).isin(*config.COUNTRY_ALIASES), F.lit(config.COUNTRY)).otherwise(_base(value, folded))
 
 
-def state(value: Column) -> Column:
+def state(value: Column, folded: bool = False) -> Column:
     """The code of a state's name; anything else compacted."""
-    return _lookup(config.STATES, compact(value))
+    return _lookup(config.STATES, compact(value, folded))
 
 
-def company(value: Column) -> Column:
-    return _without(compact(value), config.COMPANY_WORDS)
+def company(value: Column, folded: bool = False) -> Column:
+    return _without(compact(value, folded), config.COMPANY_WORDS)
 
 
-def address(value: Column) -> Column:
-    return F.array_join(F.transform(words(compact(value)), lambda t: _lookup(config.STREET_WORDS, t)), " ")
+def address(value: Column, folded: bool = False) -> Column:
+    return F.array_join(F.transform(words(compact(value, folded)), lambda t: _lookup(config.STREET_WORDS, t)), " ")
 
 
-def postal(value: Column) -> Column:
+def postal(value: Column, folded: bool = False) -> Column:
     """The first five-digit run, with its four-digit extension; empty if there is none."""
-    return F.regexp_extract(ascii_text(value), config.POSTAL, 0)
+    return F.regexp_extract(_base(value, folded), config.POSTAL, 0)
 
 
 def state_patterns() -> tuple[str, str, str]:
@@ -112,11 +121,11 @@ def state_patterns() -> tuple[str, str, str]:
     return before, rf"(?i),\s*({codes})\s*(?:,|$)", f"(?:^| )({'|'.join(config.STATES)})(?: |$)"
 
 
-def state_in_address(value: Column) -> Column:
-    text = ascii_text(value)
+def state_in_address(value: Column, folded: bool = False) -> Column:
+    text = _base(value, folded)
     before, comma, name = state_patterns()
     codes = [F.nullif(F.lower(F.regexp_extract(text, p, 1)), F.lit("")) for p in (before, comma)]
-    named = F.nullif(F.regexp_extract(compact(value), name, 1), F.lit(""))
+    named = F.nullif(F.regexp_extract(compact(value, folded), name, 1), F.lit(""))
     return F.coalesce(*codes, _lookup(config.STATES, named), F.lit(""))
 
 
@@ -131,10 +140,10 @@ def street_core(address_norm: Column, city_norm: Column, state_norm: Column, pos
     units = F.transform(all_words, lambda t: F.array_contains(_literals(config.UNIT_WORDS), t))
     first = F.array_position(units, True)
     before = F.when(first > 0, F.slice(all_words, 1, F.greatest(first - 1, F.lit(0)).cast("int"))).otherwise(all_words)
-    names = F.try_element_at(F.create_map(*[F.lit(x) for name, code in config.STATES.items() for x in (code, name)]), state_norm)
+    names = F.try_element_at(_map({code: name for name, code in config.STATES.items()}), state_norm)
     gone = F.concat(words(city_norm), F.array(state_norm, postal_norm), words(F.coalesce(names, F.lit(""))), _literals(config.COUNTRY_WORDS))
     return F.array_join(F.filter(before, lambda t: ~F.array_contains(gone, t)), " ")
 
 
-def is_yes(value: Column) -> Column:
-    return compact(value).isin(*config.YES_WORDS)
+def is_yes(value: Column, folded: bool = False) -> Column:
+    return compact(value, folded).isin(*config.YES_WORDS)

@@ -23,8 +23,9 @@ LISTS = {
 
 def group_values(df: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
     """(keys, field, value, n, first): how often each non-empty value occurs in its group, and where first."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), text.ascii_text(F.col(f)).alias("value")) for f in fields])
-    long = df.select(*keys, F.col(order).alias("__at"), F.posexplode(pairs).alias("__k", "p")).select(*keys, "__at", "p.*").where("value <> ''")
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
+    long = df.select(*keys, F.col(order).alias("__at"), F.explode(pairs).alias("p"))
+    long = long.select(*keys, "__at", "p.field", text.ascii_text(F.col("p.value")).alias("value")).where("value <> ''")
     return long.groupBy(*keys, "field", "value").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("first"))
 
 
@@ -67,7 +68,7 @@ def consolidate(df: DataFrame, key: str, reason: Column | None = None, cell=geo.
     out = counts.join(wide, key)
     lists = {name: joined(F.col(f"l_{f}"), limit if limited else None) for name, (f, limited) in LISTS.items() if not name.startswith("cells")}
     cells = {name: F.col(f"l_{LISTS[name][0]}") for name in ("cells_fine", "cells_coarse")}
-    modes = {f: F.col(f"m_{f}") for f in MODES} | {"postal_code_raw": F.coalesce(F.nullif(F.col("m_postal_code_raw"), F.lit("")), text.postal(F.col("m_street_address_raw")))}
+    modes = {f: F.col(f"m_{f}") for f in MODES} | {"postal_code_raw": F.coalesce(F.nullif(F.col("m_postal_code_raw"), F.lit("")), text.postal(F.col("m_street_address_raw"), True))}
     shaped = out.select(
         F.col(f"`{key}`").alias("logical_record_id"), "ord", "member_count", F.coalesce(F.get("l_source", F.lit(0)), F.lit("")).alias("source"),
         "dedupe_reason", "latitude_raw", "longitude_raw", *[c.alias(n) for n, c in (lists | cells | modes).items()],

@@ -44,20 +44,22 @@ def canonical_b(raw: DataFrame) -> DataFrame:
 
 def with_norms(df: DataFrame, with_country: bool = True) -> DataFrame:
     """The normalized fields beside the raw ones. A missing postal code is looked for in the address."""
-    lat, lon = geo.to_float(F.col("latitude_raw")), geo.to_float(F.col("longitude_raw"))
-    own = text.compact(F.col("postal_code_raw"))
+    raw = ["company_raw", "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw", *(["country_raw"] if with_country else [])]
+    df = df.withColumns({f"__{c}": text.ascii_text(F.col(c)) for c in raw})  # folded once, read several times
+    f = {c: F.col(f"__{c}") for c in raw}
+    own = text.compact(f["postal_code_raw"], True)
     fields = {
-        "company_norm": text.company(F.col("company_raw")),
-        "facility_owner_norm": text.company(F.col("facility_owner_raw")),
-        "facility_name_norm": text.compact(F.col("facility_name_raw")),
-        "street_address_norm": text.address(F.col("street_address_raw")),
-        "city_norm": text.compact(F.col("city_raw")),
-        "state_norm": text.state(F.col("state_raw")),
-        "postal_code_norm": F.coalesce(F.nullif(own, F.lit("")), text.compact(text.postal(F.col("street_address_raw")))),
-        "latitude": lat,
-        "longitude": lon,
+        "company_norm": text.company(f["company_raw"], True),
+        "facility_owner_norm": text.company(f["facility_owner_raw"], True),
+        "facility_name_norm": text.compact(f["facility_name_raw"], True),
+        "street_address_norm": text.address(f["street_address_raw"], True),
+        "city_norm": text.compact(f["city_raw"], True),
+        "state_norm": text.state(f["state_raw"], True),
+        "postal_code_norm": F.coalesce(F.nullif(own, F.lit("")), text.compact(text.postal(f["street_address_raw"], True), True)),
+        "latitude": geo.to_float(F.col("latitude_raw")),
+        "longitude": geo.to_float(F.col("longitude_raw")),
     }
-    out = df.withColumns(({"country_standard": text.country(F.col("country_raw"))} if with_country else {}) | fields)
+    out = df.withColumns(({"country_standard": text.country(f["country_raw"], True)} if with_country else {}) | fields).drop(*[f"__{c}" for c in raw])
     lat, lon = F.col("latitude"), F.col("longitude")
     return out.withColumns({"lat_trunc_3": geo.truncate3(lat), "lon_trunc_3": geo.truncate3(lon)}).withColumns(
         {
