@@ -152,25 +152,26 @@ def select_spans(docs: DataFrame, length: int, prefix: int, parts: int) -> DataF
             again = np.r_[False, h[1:] == h[:-1]]
             many = again | np.r_[again[1:], False]
             known = order[many]
-            yield _picked(rows[known], nth[known]).assign(part=-1)
+            settled = _picked(rows[known], nth[known])
+            yield settled.assign(part=settled["row"] % parts, settled=True)
             entries = np.zeros(int((~again).sum()), _ENTRY)
             entries["hash"], entries["row"], entries["nth"] = h[~again], rows[order][~again], np.where(many, _MANY, nth[order])[~again]
             part = (entries["hash"] >> np.uint64(20)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             held = [(p, entries[order[a:b]].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
-            yield pd.DataFrame({"row": 0, "picked": [x for _, x in held], "part": [p for p, _ in held]})
+            yield pd.DataFrame({"row": 0, "picked": [x for _, x in held], "part": [p for p, _ in held], "settled": False})
 
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        entries = np.concatenate([np.frombuffer(x, _ENTRY) for x in rows["picked"]])
+        settled = rows.loc[rows["settled"], ["row", "picked"]]
+        entries = np.concatenate([np.zeros(0, _ENTRY), *[np.frombuffer(x, _ENTRY) for x in rows.loc[~rows["settled"], "picked"]]])
         entries = entries[np.argsort(entries["hash"], kind="stable")]
         again = np.r_[False, entries["hash"][1:] == entries["hash"][:-1]]
         own = entries[(again | np.r_[again[1:], False]) & (entries["nth"] != _MANY)]
-        return _picked(own["row"], own["nth"])
+        return pd.concat([settled, _picked(own["row"], own["nth"])], ignore_index=True)
 
-    dealt = cut(docs.mapInPandas(hashed, "row long, picked binary, part int"))
-    found = dealt.where("part >= 0").groupBy("part").applyInPandas(counted, "row long, picked binary")
-    return dealt.where("part < 0").select("row", "picked").unionByName(found)
+    dealt = docs.mapInPandas(hashed, "row long, picked binary, part int, settled boolean")
+    return dealt.groupBy("part").applyInPandas(counted, "row long, picked binary")
 
 
 def _picked(rows: np.ndarray, nth: np.ndarray) -> pd.DataFrame:
@@ -253,7 +254,9 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, tuple]]]) -> Iterator[tuple
     Each candidate's common prefix with the last winner is known. Of two candidates the one with the longer such prefix is
     the smaller; only if both are equal are the texts compared, from there on, and the loser remembers how far they agree.
     """
-    size = 1 << max(0, (len(runs) - 1).bit_length())
+    if not runs:
+        return
+    size = 1 << (len(runs) - 1).bit_length()
     heads: list[tuple[bytes, tuple] | None] = [None] * size
     agree = [0] * size
     losers = [-1] * size
@@ -389,14 +392,14 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, prefix: int = PREF
         def closed() -> pd.DataFrame:
             direct = [(row, struct.pack("<2q", start, start + len(k[0]) + len(k[1]))) for k, own in held.items() if len(own) > 1 for row, start in own]
             items = sorted(((k[0] + k[1], len(k[1]), len(own) > 1, *own[0]) for k, own in held.items()), key=lambda x: (x[0], x[1]))
-            out, low = [(-1, x, row) for row, x in direct], 0
+            out, low = [(row % parts, x, row, True) for row, x in direct], 0
             places = [bisect_right(bounds, x[0][:BOUND]) for x in items]
             while low < len(items):
                 high = bisect_right(places, places[low], low)
-                out.append((places[low], pack_run(items[low:high]), 0))
+                out.append((places[low], pack_run(items[low:high]), 0, False))
                 low = high
             held.clear()
-            return pd.DataFrame(out, columns=["part", "run", "row"])
+            return pd.DataFrame(out, columns=["part", "run", "row", "settled"])
 
         for row, start, right, left in _selected(batches, length, prefix):
             held.setdefault((right, left), []).append((row, start))
@@ -408,21 +411,21 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, prefix: int = PREF
 
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
         groups = _Groups(length, local_spans)
-        for common, text, item in merge_runs([unpack_run(x) for x in rows["run"]]):
+        settled = rows.loc[rows["settled"], ["row", "run"]].rename(columns={"run": "bounds"}).assign(hashes=None, start=0, many=False)
+        for common, text, item in merge_runs([unpack_run(x) for x in rows.loc[~rows["settled"], "run"]]):
             if common < prefix:
                 groups.close()
             groups.add(text, *item)
         groups.close()
-        return groups.taken()
+        return pd.concat([settled, groups.taken()], ignore_index=True)[["row", "bounds", "hashes", "start", "many"]].astype({"many": bool})
 
-    dealt = cut(docs.join(picked, "row").select("row", "text", "picks").mapInPandas(runs, "part int, run binary, row long"))
-    found = cut(dealt.where("part >= 0").groupBy("part").applyInPandas(merged, _FOUND))
+    dealt = docs.join(picked, "row").select("row", "text", "picks").mapInPandas(runs, "part int, run binary, row long, settled boolean")
+    found = cut(dealt.groupBy("part").applyInPandas(merged, _FOUND))
     windows = found.where("hashes IS NOT NULL").select("row", "start", "many", F.posexplode("hashes").alias("i", "h"))
     often = windows.groupBy("h").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1").select("h")
     late = windows.where("NOT many").join(often, "h").select("row", (F.col("start") + F.col("i")).alias("s"))
     late = late.groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("windows"))
-    packed = found.where("bounds IS NOT NULL").select("row", "bounds").unionByName(dealt.where("part < 0").select("row", F.col("run").alias("bounds")))
-    packed = packed.groupBy("row").agg(F.collect_list("bounds").alias("intervals"))
+    packed = found.where("bounds IS NOT NULL").groupBy("row").agg(F.collect_list("bounds").alias("intervals"))
     return packed.join(late, "row", "full").select("row", F.coalesce("intervals", F.array().cast("array<binary>")).alias("intervals"), F.coalesce("windows", F.array().cast("array<long>")).alias("windows"))
 
 
