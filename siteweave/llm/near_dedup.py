@@ -33,6 +33,8 @@ from siteweave.recovery import cut
 WORDS, PERCENT = 5, 80
 #: Bins of a sketch and bins of a band: a pair at 80 % shares no bucket with a chance of 5e-8, one at 85 % of 6e-11.
 BINS, BAND = 128, 4
+#: With no more candidate pairs than this, the ids of their ends are broadcast to pick their sets; else they are joined.
+FEW_PAIRS = 50_000
 #: A worker remembers the hashes of so many words.
 REMEMBERED = 300_000
 
@@ -155,6 +157,27 @@ def _pairs(members: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets agree to ``percent``.
+
+    Sets cut to 16 bits a shingle go first: their common values, and what each set lost by being cut, bound the common
+    shingles from above, so that only pairs that may be links move full sets.
+    """
+    small = F.array_distinct(F.transform("set", lambda x: (x.bitwiseAND(F.lit(65535)) - 32768).cast("short")))
+    short = sets.select("node", F.size("set").alias("n"), small.alias("short"))
+    near = lambda both, n: 100 * both >= percent * (n - both)
+    side = lambda df, s: df.select(*[F.col(c).alias(c if c == s else f"{c}_{s}") for c in df.columns if c != "node"], F.col("node").alias(s))
+    held = pairs.join(side(short, "a"), "a").join(side(short, "b"), "b")
+    most = F.size(F.array_intersect("short_a", "short_b")) + F.least(F.col("n_a") - F.size("short_a"), F.col("n_b") - F.size("short_b"))
+    close = cut(held.where(near(F.least(most, "n_a", "n_b"), F.col("n_a") + F.col("n_b"))).select("a", "b"))
+    if close.count() <= FEW_PAIRS:
+        ends = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = sets.join(F.broadcast(ends), "node", "left_semi")  # at most 2 * FEW_PAIRS ids
+    full = close.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return full.where(near(both, F.size("set_a") + F.size("set_b"))).select("a", "b")
+
+
 def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(a, b): confirmed links between nodes. sketched: (row, node, n_shingles, bands) for the rows of ``docs``."""
     nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.any_value("bands").alias("bands"))
@@ -172,11 +195,7 @@ def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent
     rest = members.withColumn("root", F.col("node"))
     while True:
         pairs = cut(_pairs(rest, tested))
-        judged = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-        judged = judged.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-        na, nb, both = F.size("set_a"), F.size("set_b"), F.size(F.array_intersect("set_a", "set_b"))
-        fits = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-        new = cut(judged.where(fits).where(100 * both >= percent * (na + nb - both)).select("a", "b"))
+        new = cut(_confirmed(pairs, sets, percent))
         tested = pairs if tested is None else cut(tested.unionByName(pairs))
         links = new if links is None else cut(links.unionByName(new))
         if new.isEmpty():
