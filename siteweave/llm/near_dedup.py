@@ -35,6 +35,8 @@ WORDS, PERCENT = 5, 80
 BINS, BAND = 128, 4
 #: With no more candidate pairs than this, the ids of their ends are broadcast to pick their sets; else they are joined.
 FEW_PAIRS = 50_000
+#: So many links are joined by one task, at most: some megabytes, whatever the size of the corpus.
+FEW_LINKS = 20_000
 #: A worker remembers the hashes of so many words.
 REMEMBERED = 300_000
 
@@ -128,8 +130,31 @@ def shingle_column(text: Column, words: int = WORDS) -> Column:
     return sets(text)
 
 
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Union-find over a small table of links."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for links in batches:
+        for a, b in zip(links["a"].tolist(), links["b"].tolist(), strict=True):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    yield pd.DataFrame({"node": list(root), "root": [find(x) for x in root]}, dtype="int64")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of ``links`` (a, b): root is the smallest node reachable. Large-star and small-star rounds."""
+    """(node, root) for the nodes of ``links`` (a, b): root is the smallest node reachable.
+
+    Up to ``FEW_LINKS`` links, counted first, one task joins them; more of them go through large-star and small-star rounds.
+    """
+    if links.count() <= FEW_LINKS:
+        return cut(links.select("a", "b").coalesce(1).mapInPandas(_joined, "node long, root long"))
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
     before = mark(edges)
