@@ -252,7 +252,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     found = assign(docs, words, percent)
     empty = F.col("n_shingles") == 0
     group = F.when(empty, F.col("row")).otherwise(F.xxhash64("component_id"))
-    first = found.groupBy(empty.alias("e"), group.alias("g")).agg(F.min(F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False)), "doc_id", "row")).alias("m"))
+    first = found.groupBy(empty.alias("e"), group.alias("g")).agg(F.min(F.struct(~F.col("doc_id").eqNullSafe(F.col("component_id")), "doc_id", "row")).alias("m"))
     stay = first.select(F.col("m.row").alias("__row"))
     held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(stay, "__row", "left_semi")
     return held.dropDuplicates(["__row"]).select(*docs.columns)
