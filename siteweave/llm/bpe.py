@@ -19,12 +19,13 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: A worker remembers the ids of so many different pre-tokens; then it forgets them all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 #: Longer pre-tokens are not remembered.
@@ -172,6 +173,21 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
     return decoded(ids)
 
 
+def round_trip_column(text: Column, path: str, pattern: str) -> Column:
+    """struct(n_tokens, ids, round_trip): one worker encodes and decodes; ids stay 4 bytes each."""
+
+    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(path, pattern)
+        for texts in batches:
+            rows = []
+            for t, ids in zip(texts, own.encode_all(texts), strict=True):
+                rows.append((len(ids), np.array(ids, np.int32), own.decode(ids) == (t or "").encode()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "round_trip"], index=texts.index)
+
+    return both(text)
+
+
 def digest_column(text: Column, path: str, pattern: str) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256): encodes each text, then decodes those ids."""
 
