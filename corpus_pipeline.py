@@ -40,9 +40,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, their number, and whether they decode to its text."""
     how = (public_tokenizers.path(queries.BPE_FILE), public_tokenizers.PATTERN)
-    ids = docs.select("doc_id", "source", "text", bpe.encode_column(F.col("text"), *how).alias("ids"))
-    whole = bpe.decode_column(F.col("ids"), *how) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return ids.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    out = docs.select("doc_id", "source", bpe.round_trip_column(F.col("text"), *how).alias("b"))
+    return out.select("doc_id", "source", "b.n_tokens", "b.ids", "b.round_trip")
 
 
 STAGES = [
