@@ -196,7 +196,8 @@ def _selected(batches: Iterator[pd.DataFrame], length: int, prefix: int) -> Iter
         bounds = np.searchsorted(owner, np.arange(len(keys) + 1))
         for d, key in enumerate(keys):
             chosen[bounds[d] + picks[key]] = True
-        picks.clear()
+        for key in set(keys):  # only these: a long document comes before the short ones that wait in the buffer
+            del picks[key]
         for s in np.flatnonzero(chosen).tolist():
             d, f, m = owner[s], int(first[s]), int(at[s])
             yield keys[d], f - starts[d], text[m : int(last[s]) + length], text[f:m]

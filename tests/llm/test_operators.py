@@ -263,6 +263,23 @@ def test_long_documents_are_cut_without_loss(monkeypatch):
     assert windows(pieces) == windows(whole)
 
 
+def test_long_documents_between_short_ones(spark, monkeypatch):
+    shared = prose(21, 90)[:300]
+    short = [prose(k, 30) + shared for k in range(60, 72)]
+    long = [shared + prose(k, 600_000) for k in (80, 81)]
+    assert min(map(len, long)) > suffix_dedup.BUFFER
+    out = suffix_dedup.with_repeats(documents(spark, [*short[:6], long[0], *short[6:], long[1]]))
+    got = out.select(suffix_dedup.digest_column(F.col("text"), F.col("__intervals"), F.col("__windows")).alias("d")).collect()
+    assert [(r.d.n_removed >= 300, r.d.n_spans) for r in got] == [(True, 1)] * 14
+
+    texts = [short[0], long[0][:9000], short[1], short[2], long[1][:9000], short[3]]
+    spans = [next(iter(suffix_dedup._documents(iter([(k, t.encode())]), 200, 64)))[4][0] for k, t in enumerate(texts)]
+    picked = lambda: iter([suffix_dedup.pd.DataFrame({"row": range(6), "text": texts, "picks": [[np.arange(len(s), dtype="<u4").tobytes()] for s in spans]})])
+    whole = sorted(suffix_dedup._selected(picked(), 200, 64))
+    monkeypatch.setattr(suffix_dedup, "BUFFER", 9000 - 1)
+    assert sorted(suffix_dedup._selected(picked(), 200, 64)) == whole
+
+
 # --- WARC
 
 
