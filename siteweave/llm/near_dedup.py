@@ -203,6 +203,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.where(near(both, F.size("set_a") + F.size("set_b"))).select("a", "b")
 
 
+def _keys(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, rank, root, d, early): keys, two of which meet for every pair of a bucket of ``rest`` that can be a link.
+
+    Buckets that hang together have one reference set; d is the size of a node's symmetric difference D to it. For a link
+    of sets of n_a and n_b shingles, |D_a & D_b| >= (d_a + d_b) / 2 - h, with h = n_a * (100 - percent) / (2 * percent). With
+    the values of D in one order, rare ones first, the first common one is thus among the first h + 1 of the node with the
+    smaller d (``early``) and among the first 2h + 1 of the other one; where D may have nothing in common, a key of its own
+    stands for that.
+    """
+    span = rest.groupBy("bucket").agg(F.max("rank").alias("top"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    held = cut(rest.join(span.select("bucket", "top"), "bucket"))
+    labels = components(held.select(F.col("node").alias("a"), F.col("top.node").alias("b"))).withColumnRenamed("root", "label")
+    nodes = cut(held.groupBy("node").agg(F.first("rank").alias("rank"), F.first("root").alias("root")).join(labels, "node"))
+    lead = nodes.groupBy("label").agg(F.max("rank").alias("r")).select("label", F.col("r.node").alias("node"))
+    lead = lead.join(sets, "node").select("label", F.col("set").alias("lead"))
+    own = nodes.join(sets, "node").join(lead, "label")
+    own = own.withColumn("diff", F.concat(F.array_except("set", "lead"), F.array_except("lead", "set")))
+    own = cut(own.select("label", "node", "rank", "root", F.size("set").alias("n"), F.size("diff").alias("d"), "diff"))
+    each = own.select("label", "node", F.explode("diff").alias("x"))
+    often = each.groupBy("label", "x").agg(F.count(F.lit(1)).alias("df"))
+    sorted_ = each.join(often, ["label", "x"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("diff"))
+    # the bounds are whole numbers: floor(h) and floor(2h)
+    most = lambda k: F.floor(F.col("n") * (100 - percent) * k / F.lit(2 * percent) + 1e-9).cast("int")
+    own = own.drop("diff").join(sorted_, "node", "left").withColumn("h", most(1)).withColumn("h2", most(2))
+    first = F.slice(F.coalesce("diff", F.array().cast("array<struct<df:bigint,x:bigint>>")), 1, F.col("h2") + 1)
+    first = F.transform(first, lambda y, i: F.struct(y["df"].alias("df"), F.xxhash64("label", y["x"]).alias("bucket"), (i <= F.col("h")).alias("early")))
+    none = F.array(F.struct(F.lit(2).cast("bigint").alias("df"), F.xxhash64("label", F.lit("none")).alias("bucket"), (F.col("d") <= F.col("h")).alias("early")))
+    keyed = own.select("node", "rank", "root", "d", F.explode(F.when(F.col("d") <= F.col("h2"), F.concat(first, none)).otherwise(first)).alias("k"))
+    return keyed.where("k.df > 1").select("k.bucket", "node", "rank", "root", "d", "k.early")
+
+
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    roots = components(links).withColumnRenamed("root", "to")
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("to", "node")).select(*members.columns)
+
+
+def _late_links(rest: DataFrame, sets: DataFrame, links: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """``links`` and those that stars have not found: one more star for each key, then all pairs of two components."""
+    keys = cut(_keys(rest, sets, percent))
+    stars = cut(_pairs(keys, tested))
+    links = cut(links.unionByName(_confirmed(stars, sets, percent)))
+    keys = cut(_rooted(keys, links))
+    side = lambda s: keys.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "d", "early")])
+    met = side("a").where("early_a").join(side("b"), "bucket").where("root_a <> root_b AND (d_a < d_b OR d_a = d_b AND node_a < node_b)")
+    pairs = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    pairs = cut(pairs.join(tested.unionByName(stars), ["a", "b"], "left_anti"))
+    return cut(links.unionByName(_confirmed(pairs, sets, percent)))
+
+
 def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(a, b): confirmed links between nodes. sketched: (row, node, n_shingles, bands) for the rows of ``docs``."""
     nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.any_value("bands").alias("bands"))
@@ -223,13 +272,14 @@ def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent
         new = cut(_confirmed(pairs, sets, percent))
         tested = pairs if tested is None else cut(tested.unionByName(pairs))
         links = new if links is None else cut(links.unionByName(new))
-        if new.isEmpty():
-            return links
-        roots = components(links)
         # the centres of this round step back; what stays are buckets that still join several components
         gone = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
-        rest = rest.drop("root").join(gone, "bucket").where("rank < top").drop("top")
-        rest = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = rest.join(gone, "bucket").where("rank < top").drop("top")
+        if new.isEmpty():
+            span = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+            return links if span.where("r0 <> r1").isEmpty() else _late_links(rest, sets, links, tested, percent)
+        roots = components(links)
+        rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         rest = cut(rest.select("bucket", "node", "rank", "root"))
 
 

@@ -379,6 +379,21 @@ def test_near(spark, words, percent):
     assert [got[k].component_id for k in range(len(texts))] == roots
 
 
+def test_near_links_no_star_shows(spark):
+    # one template, pages of each slot have own words there: linked in a slot, not between slots
+    base = prose(116, 1000).split()
+    texts = []
+    for slot in range(21):
+        for page in range(2):
+            own = [f"w{slot}x{page}x{k}" for k in range(44)]
+            at = slot * 47
+            texts.append(" ".join(base[:at] + own + base[at + 44 :]))
+    _, roots = brute_components(texts, 3, 85)
+    assert len(set(roots)) == 21
+    got = {r.doc_id: r.component_id for r in near_dedup.assign(documents(spark, texts), 3, 85).collect()}
+    assert [got[k] for k in range(len(texts))] == roots
+
+
 def test_near_keeps_one(spark):
     texts = near_texts()
     _, roots = brute_components(texts, 5, 80)
