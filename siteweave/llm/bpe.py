@@ -17,17 +17,20 @@ import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 #: A worker remembers the ids of so many different pre-tokens; then it forgets them all and goes on.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 400_000
 #: Longer pre-tokens are not remembered.
 REMEMBERED_LENGTH = 48
 
@@ -132,6 +135,10 @@ class Codec:
             del self._known[token]
         return ids
 
+    def forget(self) -> None:
+        """At the end of a task: the worker lives on, for other tasks."""
+        self._known.clear()
+
     def encode(self, text: str | None) -> list[int]:
         return self._encode_group([text or ""])[0]
 
@@ -173,19 +180,35 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
     return decoded(ids)
 
 
-def round_trip_column(text: Column, path: str, pattern: str) -> Column:
-    """struct(n_tokens, ids, round_trip): one worker encodes and decodes; ids stay 4 bytes each."""
-
-    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = codec(path, pattern)
-        for texts in batches:
-            rows = []
-            for t, ids in zip(texts, own.encode_all(texts), strict=True):
-                rows.append((len(ids), np.array(ids, np.int32), own.decode(ids) == (t or "").encode()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "round_trip"], index=texts.index)
-
-    return both(text)
+def round_trip(docs: DataFrame, columns: list[str], path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``columns`` of ``docs`` with n_tokens, ids and round_trip (do the ids decode to the text?) of each text.
+
+    One worker encodes and decodes, and hands on slices of about ``GROUP_CHARS`` characters, so that it never holds the ids
+    of a whole batch. ``columns`` have other names than the three new ones.
+    """
+    own = StructType([docs.schema[c] for c in columns])
+    schema = StructType([*own.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
+    n = len(columns)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = codec(path, pattern)
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(n)), 0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // GROUP_CHARS)) + 1).tolist(), batch.num_rows]
+            for low, high in pairwise(cuts):
+                part = batch.slice(low, high - low)
+                counts, ids, same = [], [], []
+                texts = part.column(n).to_pylist()
+                for t, found in zip(texts, by.encode_all(texts), strict=True):
+                    counts.append(len(found))
+                    same.append(by.decode(found) == (t or "").encode())
+                    ids.append(np.array(found, np.int32))
+                values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts, dtype=np.int64)].astype(np.int32)), values)
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(counts, pa.int64()), lists, pa.array(same, pa.bool_())], names=schema.names)
+        by.forget()
+
+    return docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("\x00text")).mapInArrow(encoded, schema)
 
 
 def digest_column(text: Column, path: str, pattern: str) -> Column:
@@ -199,5 +222,6 @@ def digest_column(text: Column, path: str, pattern: str) -> Column:
             for ids in own.encode_all(texts):
                 rows.append((len(ids), hashlib.sha256(own.spelt(ids).encode()).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"], index=texts.index)
+        own.forget()
 
     return digests(text)

@@ -17,9 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one column ``doc``, so that no column's name can clash with what an operator adds."""
+    return docs.select(F.struct("*").alias("doc"))
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
-    """64 bits that stand for a row: equal for repeated rows, else different but for chance."""
-    return F.xxhash64(doc_id, text, F.lit(7))
+    """128 bits that stand for a row: equal for repeated rows, else different but for chance.
+
+    The halves are hashes of different seeds from the first byte on, so that rows that agree in one don't agree in the other.
+    """
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit(7), text, doc_id).alias("b"))
 
 
 def ascii_lower(text: Column) -> Column:

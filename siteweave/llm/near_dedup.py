@@ -6,12 +6,15 @@ an order of its own, the same for all documents (optimal densification). Bands o
 
 Inside a bucket no pairs are formed: its most popular member (the one that shares its buckets with the most others, so the
 one nearest to what the group has in common) is the centre of a star. Each edge is confirmed on the full sets. Members that
-are in another component than the centre's meet the next centre in the next round; rounds go on until one adds no link.
+are in another component than the centre's meet the next centre in the next round, as long as rounds are worth their cost.
+What stars can't see, links between two members that are both unlike every centre, is then looked for exactly: a prefix
+filter on differences to a reference set leads to every pair of two components that can be a link (``_late_links``).
 Components are found by large-star and small-star contraction, in tables, with a checkpoint each time.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; a text with fewer words than a shingle
 has its whole word sequence as its one shingle; rows with equal sets are one component even if ids repeat or are null; the
-smallest id counts, null ids only where a component has no other.
+smallest id counts, null ids only where a component has no other; an empty table gives an empty table; ``keep_one`` returns
+the columns of ``docs`` under any names, keeps every row without words, and of other rows one for each group of linked sets.
 """
 
 from __future__ import annotations
@@ -26,17 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import row_key
+from siteweave.llm.common import WHITE, packed, row_key
 from siteweave.recovery import cut
 
 #: Words of a shingle, and the least share of common shingles in percent.
 WORDS, PERCENT = 5, 80
 #: Bins of a sketch and bins of a band: a pair at 80 % shares no bucket with a chance of 5e-8, one at 85 % of 6e-11.
 BINS, BAND = 128, 4
-#: With no more candidate pairs than this, the ids of their ends are broadcast to pick their sets; else they are joined.
-FEW_PAIRS = 50_000
-#: So many links are joined by one task, at most: some megabytes, whatever the size of the corpus.
-FEW_LINKS = 20_000
+#: Star rounds end when fewer than one of so many tested pairs was a link; the exact search does the rest.
+WORTH = 50
 #: A worker remembers the hashes of so many words.
 REMEMBERED = 300_000
 
@@ -102,19 +103,18 @@ def bands(hashes: np.ndarray, bins: int = BINS, band: int = BAND) -> np.ndarray:
 
 
 def sketch_column(text: Column, words: int = WORDS, bins: int = BINS, band: int = BAND) -> Column:
-    """struct(n_shingles, node, bands) of each text; node and bands null for an empty set."""
+    """struct(n_shingles, node, bands) of each text; node (128 bits of the set) and bands null for an empty set."""
 
-    @F.pandas_udf("n_shingles long, node long, bands array<long>")
+    @F.pandas_udf("n_shingles long, node binary, bands array<long>")
     def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for text in texts:
                 own = shingles(text, words)
-                node = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+                node = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
                 rows.append((len(own), node, bands(own, bins, band)) if len(own) else (0, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "node", "bands"], index=texts.index)
-            out["node"] = out["node"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["n_shingles", "node", "bands"], index=texts.index)
+        _known.clear()  # the worker lives on, for other tasks
 
     return sketched(text)
 
@@ -126,35 +126,13 @@ def shingle_column(text: Column, words: int = WORDS) -> Column:
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([shingles(t, words).view(np.int64) for t in texts], index=texts.index, dtype=object)
+        _known.clear()
 
     return sets(text)
 
 
-def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Union-find over a small table of links."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        root.setdefault(x, x)
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for links in batches:
-        for a, b in zip(links["a"].tolist(), links["b"].tolist(), strict=True):
-            low, high = sorted((find(a), find(b)))
-            root[high] = low
-    yield pd.DataFrame({"node": list(root), "root": [find(x) for x in root]}, dtype="int64")
-
-
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of ``links`` (a, b): root is the smallest node reachable.
-
-    Up to ``FEW_LINKS`` links, counted first, one task joins them; more of them go through large-star and small-star rounds.
-    """
-    if links.count() <= FEW_LINKS:
-        return cut(links.select("a", "b").coalesce(1).mapInPandas(_joined, "node long, root long"))
+    """(node, root) for the nodes of ``links`` (a, b): root is the smallest node reachable."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
     before = mark(edges)
@@ -195,9 +173,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     held = pairs.join(side(short, "a"), "a").join(side(short, "b"), "b")
     most = F.size(F.array_intersect("short_a", "short_b")) + F.least(F.col("n_a") - F.size("short_a"), F.col("n_b") - F.size("short_b"))
     close = cut(held.where(near(F.least(most, "n_a", "n_b"), F.col("n_a") + F.col("n_b"))).select("a", "b"))
-    if close.count() <= FEW_PAIRS:
-        ends = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = sets.join(F.broadcast(ends), "node", "left_semi")  # at most 2 * FEW_PAIRS ids
+    ends = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets.join(ends, "node", "left_semi")
     full = close.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     return full.where(near(both, F.size("set_a") + F.size("set_b"))).select("a", "b")
@@ -212,8 +189,8 @@ def _keys(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     smaller d (``early``) and among the first 2h + 1 of the other one; where D may have nothing in common, a key of its own
     stands for that.
     """
-    span = rest.groupBy("bucket").agg(F.max("rank").alias("top"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    held = cut(rest.join(span.select("bucket", "top"), "bucket"))
+    top = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
+    held = cut(rest.join(top, "bucket"))
     labels = components(held.select(F.col("node").alias("a"), F.col("top.node").alias("b"))).withColumnRenamed("root", "label")
     nodes = cut(held.groupBy("node").agg(F.first("rank").alias("rank"), F.first("root").alias("root")).join(labels, "node"))
     lead = nodes.groupBy("label").agg(F.max("rank").alias("r")).select("label", F.col("r.node").alias("node"))
@@ -273,18 +250,24 @@ def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent
         tested = pairs if tested is None else cut(tested.unionByName(pairs))
         links = new if links is None else cut(links.unionByName(new))
         # the centres of this round step back; what stays are buckets that still join several components
-        gone = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
-        rest = rest.join(gone, "bucket").where("rank < top").drop("top")
-        if new.isEmpty():
-            span = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-            return links if span.where("r0 <> r1").isEmpty() else _late_links(rest, sets, links, tested, percent)
-        roots = components(links)
-        rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = cut(rest.select("bucket", "node", "rank", "root"))
+        top = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
+        rest = rest.join(top, "bucket").where("rank < top").drop("top")
+        found = new.count()
+        if found:
+            rest = _rooted(rest, links)
+        span = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+        rest = cut(rest.join(span.select("bucket"), "bucket", "left_semi").select("bucket", "node", "rank", "root"))
+        if rest.isEmpty():
+            return links
+        if found * WORTH < pairs.count():
+            return _late_links(rest, sets, links, tested, percent)
 
 
 def assign(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, row, n_shingles, component_id) for every row of ``docs`` (doc_id, text); row is ``row_key(doc_id, text)``."""
+    """(doc_id, row, n_shingles, component_id, group) for every row of ``docs`` (doc_id, text).
+
+    ``row`` is ``row_key(doc_id, text)``; ``group`` stands for the linked sets of the row, null for an empty set.
+    """
     docs = docs.select("doc_id", "text")
     sketched = cut(docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row"), sketch_column(F.col("text"), words).alias("s")).select("doc_id", "row", "s.*"))
     roots = components(find_links(docs, sketched, words, percent))
@@ -292,17 +275,17 @@ def assign(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     placed = nodes.join(roots, "node", "left").where("rows > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "node"))
     placed = cut(placed)
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = placed.join(lowest, "root").select("node", "component_id")
+    named = placed.join(lowest, "root").select("node", "component_id", "root")
     out = sketched.drop("bands").join(named, "node", "left")
-    return out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("root", "node").alias("group"))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id, and of several such rows one."""
-    found = assign(docs, words, percent)
-    empty = F.col("n_shingles") == 0
-    group = F.when(empty, F.col("row")).otherwise(F.xxhash64("component_id"))
-    first = found.groupBy(empty.alias("e"), group.alias("g")).agg(F.min(F.struct(~F.col("doc_id").eqNullSafe(F.col("component_id")), "doc_id", "row")).alias("m"))
-    stay = first.select(F.col("m.row").alias("__row"))
-    held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(stay, "__row", "left_semi")
-    return held.dropDuplicates(["__row"]).select(*docs.columns)
+    """``docs`` with one row of each group of linked sets: that with the smallest id, a null id last; and all rows without words."""
+    found = assign(docs, words, percent).where(F.col("group").isNotNull())
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
+    wordless = F.btrim(F.coalesce(F.col("doc.text"), F.lit("")), F.lit(WHITE)) == ""
+    held = packed(docs)
+    full = held.where(~wordless).withColumn("row", row_key(F.col("doc.doc_id"), F.col("doc.text")))
+    one = full.join(first.select("m.row"), "row", "left_semi").dropDuplicates(["row"])
+    return one.select("doc").unionByName(held.where(wordless)).select("doc.*")

@@ -371,7 +371,7 @@ _FOUND = "row long, bounds binary, hashes array<binary>, start long, many boolea
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, parts: int | None = None, local_spans: int = LOCAL_SPANS) -> DataFrame:
     """(row, intervals): the repeated bytes of each row that has any, as packed int64 pairs (start, end) in any order."""
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
+    docs = docs.select(row_key(F.col("doc_id"), F.col("text"))["a"].alias("row"), "text")
     picked = select_spans(docs, length, prefix, parts).groupBy("row").agg(F.collect_list("picked").alias("picks"))
     picked = cut(picked)
 
@@ -446,7 +446,7 @@ def cut_out(text: str | None, intervals: list[bytes], windows: list[int], length
 def with_repeats(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, **how: int) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``__intervals`` and ``__windows``, empty where nothing is repeated."""
     found = repeated_intervals(docs, length, prefix, **how).select(F.col("row").alias("__row"), F.col("intervals").alias("__intervals"), F.col("windows").alias("__windows"))
-    held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(found, "__row", "left")
+    held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))["a"]).join(found, "__row", "left")
     none = {"__intervals": F.coalesce("__intervals", F.array().cast("array<binary>")), "__windows": F.coalesce("__windows", F.array().cast("array<long>"))}
     return held.withColumns(none).select(*docs.columns, "__intervals", "__windows")
 

@@ -394,15 +394,37 @@ def test_near_links_no_star_shows(spark):
     assert [got[k] for k in range(len(texts))] == roots
 
 
+@pytest.mark.parametrize(("seed", "n", "words", "edits"), [(6, 160, 200, [4]), (3, 120, 200, [3, 4])])
+def test_near_recall_is_whole(spark, seed, n, words, edits):
+    # all texts meet in buckets, few are links: none may be lost
+    draw = random.Random(seed)
+    texts = []
+    for k in range(n):
+        own = [f"b{i}" for i in range(words)]
+        for at in draw.sample(range(words), draw.choice(edits)):
+            own[at] = f"n{k}_{at}"
+        texts.append(" ".join(own))
+    _, roots = brute_components(texts, 3, 85)
+    assert 1 < len(set(roots)) < n
+    got = {r.doc_id: r.component_id for r in near_dedup.assign(documents(spark, texts), 3, 85).collect()}
+    assert [got[k] for k in range(n)] == roots
+
+
 def test_near_keeps_one(spark):
     texts = near_texts()
     _, roots = brute_components(texts, 5, 80)
     docs = documents(spark, texts)
-    kept = near_dedup.keep_one(docs.unionByName(docs.where("doc_id IN (0, 4, 12)")))
+    again = [k for k in (0, 4, 12) if (texts[k] or "").split()]
+    kept = near_dedup.keep_one(docs.unionByName(docs.where(F.col("doc_id").isin(again))))
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
-    ids = spark.createDataFrame([(None, "a b c d e f", None, None, None), (7, "a b c d e f", None, None, None)], DOCS)
-    assert [r.doc_id for r in near_dedup.keep_one(ids).collect()] == [7]
+    ids = [(None, "a b c d e f"), (7, "a b c d e f"), (None, "g h i j k"), (None, "l m n o p"), (7, "q r s t u"), (7, "q r s t u"), (8, ""), (8, ""), (None, None)]
+    odd = spark.createDataFrame([(i, t, 1, 2) for i, t in ids], "doc_id long, text string, row int, `__a.b` int")
+    kept = near_dedup.keep_one(odd)
+    assert kept.columns == odd.columns
+    rows = sorted(((r.doc_id or 0, r.text or "") for r in kept.collect()))
+    assert rows == sorted([(7, "a b c d e f"), (0, "g h i j k"), (0, "l m n o p"), (7, "q r s t u"), (8, ""), (8, ""), (0, "")])
     assert near_dedup.assign(documents(spark, [])).count() == 0
+    assert near_dedup.keep_one(documents(spark, [])).count() == 0
 
 
 def test_densified_sketch():
@@ -411,9 +433,7 @@ def test_densified_sketch():
     assert set(full.tolist()) <= set(hashes.tolist()) and len(near_dedup.bands(hashes)) == near_dedup.BINS // near_dedup.BAND
 
 
-@pytest.mark.parametrize("few", [0, 20_000])
-def test_components(spark, monkeypatch, few):
-    monkeypatch.setattr(near_dedup, "FEW_LINKS", few)
+def test_components(spark):
     draw = random.Random(3)
     links = [(k, k + 1) for k in range(0, 12)] + [(draw.randint(20, 60), draw.randint(20, 60)) for _ in range(25)] + [(70, 71), (71, 70)]
     root = {x: x for pair in links for x in pair}
