@@ -10,7 +10,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from siteweave.llm import bpe, line_dedup, mixing, near_dedup, queries, rules
 from siteweave.llm.common import table
@@ -39,9 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, their number, and whether they decode to its text."""
-    how = (public_tokenizers.path(queries.BPE_FILE), public_tokenizers.PATTERN)
-    out = docs.select("doc_id", "source", bpe.round_trip_column(F.col("text"), *how).alias("b"))
-    return out.select("doc_id", "source", "b.n_tokens", "b.ids", "b.round_trip")
+    return bpe.round_trip(docs, ["doc_id", "source"], public_tokenizers.path(queries.BPE_FILE), public_tokenizers.PATTERN)
 
 
 STAGES = [
