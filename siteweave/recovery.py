@@ -3,22 +3,41 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the cluster names none (tests)."""
+    """The folder of ``spark.checkpoint.dir``. Where none is named, a temporary one serves a local session; a cluster must name one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="siteweave-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
+        forget_at_exit(spark, named)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """``path`` is deleted when the driver ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` behind a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for as long as the driver lives: columnar, so smaller than a checkpoint."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/siteweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    forget_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
