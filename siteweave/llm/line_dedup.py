@@ -1,21 +1,25 @@
 """Line deduplication by range-partitioned hashes and per-document bitmaps; DataFrame operations only.
 
 Every line gets a 128-bit hash of its key (the line without white space at both ends, A-Z lower-cased). The hashes, never
-the lines, are range-partitioned by (hash, row) and sorted by (hash, document, position), so that the lines of one document
-that share a key lie together, a common line is spread over many partitions, and one pass over a partition yields the first
-occurrence of each key. Counts and first occurrences are aggregated inside each partition before they meet by hash. What
-goes back to the documents is a sparse bitmap: the 64-bit words, by word number, that have a dropped line.
+the lines, are written once, range-partitioned by (hash, salt of the row) and sorted by document and position; the salts deal
+a very common line out to as many groups as there are partitions. Windows stream over that order: the first occurrence of a
+key in each document counts it, and a group with enough documents is settled where it lies. What is left of a key, fewer than
+``min_docs`` documents of each group and one row that stands for each settled group, meets by hash and is settled there. So
+no task ever holds a whole common line. What goes back to the documents is a sparse bitmap: the 64-bit words, by word number,
+that have a dropped line; all other lines are kept.
 
 Defined results: null text is one empty line; keys shorter than ``min_chars`` are never dropped; every row is a document of
-its own, also where rows or ids repeat or are null; an empty table gives an empty table; other columns stay as they are.
+its own, also where rows or ids repeat or are null; an empty table gives an empty table; other columns stay as they are,
+under any names, but ``mark_lines`` puts its three columns in the place of columns that are called so.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import WHITE, ascii_lower, row_key
+from siteweave.llm.common import WHITE, ascii_lower, packed, row_key
+from siteweave.recovery import stored
 
 #: Found in at least so many documents, a key is a common line.
 MIN_DOCS = 10
@@ -32,46 +36,56 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     A key in at least ``min_docs`` rows loses all its lines, or all but the first in the order of doc_id and position if
     ``keep_first``. ``row`` is ``row_key(doc_id, text)``; repeated rows share it, count one by one, and lose the same lines.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = docs.select(F.col("doc_id").alias("d"), row_key(F.col("doc_id"), F.col("text")).alias("row"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    spark = docs.sparkSession
+    lines = docs.select(
+        F.col("doc_id").alias("d"), row_key(F.col("doc_id"), F.col("text")).alias("row"), F.posexplode(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)).alias("pos", "line")
+    )
     key = ascii_lower(F.btrim(F.col("line"), F.lit(WHITE)))
     hashed = lines.select("d", "row", "pos", key.alias("key")).where(F.length("key") >= min_chars)
-    hashed = hashed.select("d", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"))
-    ranged = hashed.repartitionByRange("h1", "h2", "row").sortWithinPartitions("h1", "h2", "d", "row", "pos")
-    bit = F.expr("shiftleft(1L, pos % 64)")
-    marks = ranged.groupBy("h1", "h2", "row", F.expr("pos div 64").alias("word")).agg(
-        F.bit_or(bit).alias("bits"), F.min(F.struct("d", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("n"), F.countDistinct("pos").alias("n_pos")
-    )
-    # repeated rows have the same key: n / n_pos of them stand behind one mark
-    by_row = marks.groupBy("h1", "h2", "row").agg(F.min("first").alias("first"), F.max(F.expr("n div n_pos")).alias("rows"))
-    keys = by_row.groupBy("h1", "h2").agg(F.sum("rows").alias("rows"), F.min("first").alias("first")).where(F.col("rows") >= min_docs)
-    hit = marks.drop("first").join(keys.drop("rows"), ["h1", "h2"])
+    # the halves of the hash have different seeds from the first byte on
+    hashed = stored(hashed.select("d", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = hashed.withColumn("salt", F.pmod(F.col("row.a"), F.lit(salts))).repartitionByRange("h1", "h2", "salt")
+
+    group = Window.partitionBy("h1", "h2", "salt")
+    place = F.struct("d", "row", "pos")
+    # repeated rows stand side by side, with the same places: each of them is a first occurrence in a document
+    ranged = ranged.withColumn("opens", (F.rank().over(Window.partitionBy("h1", "h2", "salt", "d", "row").orderBy("pos")) == 1).cast("long"))
+    ranged = ranged.withColumn("nth", F.row_number().over(group.orderBy("d", "row", "pos"))).withColumn("first", F.first(place).over(group.orderBy("d", "row", "pos")))
+    ranged = ranged.withColumn("docs", F.sum("opens").over(group))
+    settled = F.col("docs") >= min_docs
+
+    # lane 0 is what decides a key; the other rows of settled groups keep to themselves
+    lane = F.when(settled & (F.col("nth") > 1), F.col("salt") + 1).otherwise(0)
+    met = ranged.select("h1", "h2", "d", "row", "pos", "first", lane.alias("lane"), F.when(settled, F.col("docs")).otherwise(F.col("opens")).alias("weight"))
+    whole = Window.partitionBy("h1", "h2", "lane")
+    met = met.withColumn("docs", F.sum("weight").over(whole)).withColumn("first", F.min("first").over(whole))
+    gone = met.where((F.col("lane") > 0) | (F.col("docs") >= min_docs))
     if keep_first:
-        own = F.expr("CASE WHEN first.row = row AND first.pos div 64 = word THEN bits & ~shiftleft(1L, first.pos % 64) ELSE bits END")
-        hit = hit.withColumn("bits", own).where("bits <> 0")
-    by_word = hit.groupBy("row", "word").agg(F.bit_or("bits").alias("bits"))
+        gone = gone.where(place != F.col("first"))
+    by_word = gone.groupBy("row", F.expr("pos div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     return by_word.groupBy("row").agg(_words(F.struct("word", "bits")).alias("words"))
 
 
+def _marked(docs: DataFrame, min_docs: int, min_chars: int, keep_first: bool) -> DataFrame:
+    """(doc, lines, some): each row, its lines, and those that are kept."""
+    bitmaps = drop_bitmaps(docs, min_docs, min_chars, keep_first)
+    held = packed(docs).withColumn("row", row_key(F.col("doc.doc_id"), F.col("doc.text"))).join(bitmaps, "row", "left")
+    held = held.withColumn("lines", F.split(F.coalesce(F.col("doc.text"), F.lit("")), "\n", -1))
+    stays = "filter(lines, (x, i) -> (shiftright(coalesce(try_element_at(words, i div 64), 0L), i % 64) & 1L) = 0L)"
+    return held.select("doc", "lines", F.when(F.col("words").isNull(), F.col("lines")).otherwise(F.expr(stays)).alias("some"))
+
+
 def mark_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:
     """``docs`` with ``__lines`` (long), ``__dropped`` (long) and ``__kept`` (string: the remaining lines joined by \\n)."""
-    bitmaps = drop_bitmaps(docs, min_docs, min_chars, keep_first)
-    bitmaps = bitmaps.select(F.col("row").alias("__row"), F.col("words").alias("__words"))
-    held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(bitmaps, "__row", "left")
-    held = held.withColumn("__all", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1))
-    stays = "filter(__all, (x, i) -> (shiftright(coalesce(try_element_at(__words, i div 64), 0L), i % 64) & 1L) = 0L)"
-    held = held.withColumn("__some", F.when(F.col("__words").isNull(), F.col("__all")).otherwise(F.expr(stays)))
-    return held.select(
-        *docs.columns,
-        F.size("__all").cast("long").alias("__lines"),
-        (F.size("__all") - F.size("__some")).cast("long").alias("__dropped"),
-        F.array_join("__some", "\n").alias("__kept"),
-    )
+    out = _marked(docs, min_docs, min_chars, keep_first)
+    new = {"__lines": F.size("lines").cast("long"), "__dropped": (F.size("lines") - F.size("some")).cast("long"), "__kept": F.array_join("some", "\n")}
+    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in new], *[v.alias(k) for k, v in new.items()])
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:
     """``docs`` with the common lines gone from ``text``, and ``n_chars`` (if there) counted anew; null text stays null."""
-    out = mark_lines(docs, min_docs, min_chars, keep_first)
-    new = F.when(F.col("text").isNotNull(), F.col("__kept"))
-    put = {"text": new} | ({"n_chars": F.length(new).cast("long")} if "n_chars" in docs.columns else {})
-    return out.withColumns(put).select(*docs.columns)
+    out = _marked(docs, min_docs, min_chars, keep_first)
+    new = F.when(F.col("doc.text").isNotNull(), F.array_join("some", "\n"))
+    put = {"text": new, "n_chars": F.length(new).cast("long")}
+    return out.select(*[put.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
