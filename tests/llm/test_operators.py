@@ -65,6 +65,9 @@ def test_lines(spark, keep_first):
 
 def test_lines_of_repeated_rows(spark):
     rows = [(1, "a\nb", None, None, None)] * 3 + [(None, "a", None, None, None)]
+    odd = spark.createDataFrame([(1, "a\nb", 5, 6, 7)] * 3 + [(2, "a", 5, 6, 7)], "doc_id long, text string, `__row` int, `a.b` int, doc int")
+    held = line_dedup.dedup_lines(odd, min_docs=4)
+    assert held.columns == odd.columns and sorted(tuple(r) for r in held.collect()) == [(1, "b", 5, 6, 7)] * 3 + [(2, "", 5, 6, 7)]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), min_docs=4).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (1, "b"), (1, "b"), (1, "b")]
     assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
@@ -334,6 +337,41 @@ def test_main_text_column(spark):
     assert [r.t for r in df.select(html_text.main_text_column(F.col("html")).alias("t")).collect()] == ["a b", ""]
 
 
+PARAGRAPH = "word " * 79 + "end."
+MENU = "<nav><ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul></nav>"
+FOOT = "<footer><p>Copyright 2020 Someone. All rights.</p></footer>"
+#: Pages made by hand, none of them in the labelled table, and their main text.
+PAGES = [
+    (f'{MENU}<main class="content with-sidebar"><h1>A title here</h1><p>{PARAGRAPH}</p><p>Short.</p></main>{FOOT}', f"A title here\n\n{PARAGRAPH}\n\nShort."),
+    (f'{MENU}<div id="main" class="two-column no-sidebar"><h1>T</h1><p>{PARAGRAPH}</p></div>{FOOT}', f"T\n\n{PARAGRAPH}"),
+    (f'{MENU}<article class="post related-topics"><p>{PARAGRAPH}</p></article>{FOOT}', PARAGRAPH),
+    (f'{MENU}<div class="response"><p>{PARAGRAPH}</p></div>{FOOT}', PARAGRAPH),
+    (f"<form action=x>{MENU}<h1>A title</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>{FOOT}</form>", f"A title\n\n{PARAGRAPH}\n\n{PARAGRAPH}"),
+    (f"<article><a title='a > b' href=x>link</a> <p title=it's>{PARAGRAPH}</p></article>", f"link\n\n{PARAGRAPH}"),
+    (f'{MENU}<article><p>{PARAGRAPH}</p></article><section id="comments"><article class="comment-body"><p>{PARAGRAPH}{PARAGRAPH}</p></article></section>{FOOT}', PARAGRAPH),
+    (f'<div class="page has-sidebar">{MENU}<article><p>{PARAGRAPH}</p></article><aside><p>{PARAGRAPH}</p></aside></div>', PARAGRAPH),
+    (f"{MENU}<article><p>{PARAGRAPH}</p></article><form><p>Subscribe to our newsletter</p></form>{FOOT}", PARAGRAPH),
+    (f'{MENU}<div class="ad">Buy this now</div><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>Well then.</p></div><div class="comments"><p>{PARAGRAPH}</p></div>{FOOT}', f"{PARAGRAPH}\n\n{PARAGRAPH}\n\nWell then."),
+    (f'{MENU}<div class="cookie-notice"><p>We use cookies.</p></div><p>{PARAGRAPH}</p>', PARAGRAPH),
+    (f'<article><p title="never closed>{PARAGRAPH}</p></article>', PARAGRAPH),
+]
+
+
+@pytest.mark.parametrize("k", range(len(PAGES)))
+def test_pages_by_hand(k):
+    page, want = PAGES[k]
+    assert html_text.main_text(page) == want
+
+
+def test_tree_reads_words_and_links():
+    def used(node):
+        return set() if node.feature < 0 else {html_text.FEATURES[node.feature]} | used(node.low) | used(node.high)
+
+    assert used(html_text.tree()) >= {"link_density", "words_after", "density_before", "part_share"}
+    listed = "".join(f"<li><a href=x{k}>Some other page</a></li>" for k in range(6))
+    assert html_text.main_text(f"<ul>{listed}</ul><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><ul>{listed}</ul>") == f"{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
 # --- near-dedup
 
 
