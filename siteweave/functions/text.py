@@ -15,9 +15,9 @@ from siteweave import config
 
 
 @lru_cache(1)
-def _folds() -> tuple[str, str, str]:
-    """Code points that fold to one ASCII character, those characters, and the white space that is stripped."""
-    one, to, white = [], [], []
+def _folds() -> tuple[str, str, str, dict[str, str]]:
+    """Code points that fold to one ASCII character, those characters, the white space that is stripped, and what folds to several."""
+    one, to, white, several = [], [], [], {}
     for code in range(sys.maxunicode + 1):
         c = chr(code)
         if c.isspace():
@@ -27,20 +27,29 @@ def _folds() -> tuple[str, str, str]:
             if len(folded) == 1:
                 one.append(c)
                 to.append(folded)
-    return "".join(one), "".join(to), "".join(white)
+            elif folded:
+                several[c] = folded
+    return "".join(one), "".join(to), "".join(white), several
 
 
-#: Frequent characters that fold to several; all others of that kind need ``fold_exact``.
-SEVERAL = "…™½¼¾ﬁﬂﬀ℠№㎡㎞"
+def ascii_text(value: Column) -> Column:
+    """Text without accents and other non-ASCII characters, stripped; null is empty. Integral numbers lose their ``.0``.
 
+    Compatibility decomposition is done character by character, so three steps are exact: characters that become several,
+    looked up only in texts that have one; characters that become one; and the rest, which vanishes.
+    """
+    one, to, white, several = _folds()
+    text = F.btrim(F.coalesce(value.cast("string"), F.lit("")), F.lit(white))
+    width = max(map(len, several.values()))
+    cells = F.lit("".join(folded.ljust(width, "\0") for folded in several.values()))
 
-def ascii_text(value: Column) -> Column:
-    """Text without accents and other non-ASCII characters, stripped; null is empty. Integral numbers lose their ``.0``."""
-    one, to, white = _folds()
-    text = F.translate(F.btrim(F.coalesce(value.cast("string"), F.lit("")), F.lit(white)), one, to)
-    for c in SEVERAL:
-        text = F.replace(text, F.lit(c), F.lit(unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()))
-    return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    def part(c: Column) -> Column:
+        at = F.instr(F.lit("".join(several)), c)
+        return F.when(at > 0, F.replace(F.substring(cells, (at - 1) * width + 1, F.lit(width)), F.lit("\0"), F.lit(""))).otherwise(c)
+
+    parts = F.transform(F.split(text, ""), part)
+    text = F.when(text.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in several) + "]"), F.array_join(parts, "")).otherwise(text)
+    return F.regexp_replace(F.translate(text, one, to), r"[^\x00-\x7F]", "")
 
 
 def number_text(value: Column) -> Column:
@@ -60,12 +69,18 @@ def fold_exact(value: Column) -> Column:
     return folded(value.cast("string"))
 
 
-def _base(value: Column, folded: bool) -> Column:
+#: What a value is already: an ascii_text, or a compact one.
+FOLDED, COMPACT = 1, 2
+
+
+def _base(value: Column, folded: int) -> Column:
     return value if folded else ascii_text(value)
 
 
-def compact(value: Column, folded: bool = False) -> Column:
-    """Lower-case words of a-z and 0-9, parted by single spaces; ``&`` is the word and. ``folded``: value is an ascii_text."""
+def compact(value: Column, folded: int = False) -> Column:
+    """Lower-case words of a-z and 0-9, parted by single spaces; ``&`` is the word and. ``folded``: what value is already."""
+    if folded == COMPACT:
+        return value
     text = F.replace(F.lower(_base(value, folded)), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
@@ -91,25 +106,25 @@ def _without(compacted: Column, gone: tuple[str, ...]) -> Column:
     return F.array_join(F.filter(words(compacted), lambda t: ~F.array_contains(_literals(gone), t)), " ")
 
 
-def country(value: Column, folded: bool = False) -> Column:
+def country(value: Column, folded: int = False) -> Column:
     """The country's standard name for its aliases, with or without ``the``; other names as they are."""
     return F.when(_without(compact(value, folded), ("the",)).isin(*config.COUNTRY_ALIASES), F.lit(config.COUNTRY)).otherwise(_base(value, folded))
 
 
-def state(value: Column, folded: bool = False) -> Column:
+def state(value: Column, folded: int = False) -> Column:
     """The code of a state's name; anything else compacted."""
     return _lookup(config.STATES, compact(value, folded))
 
 
-def company(value: Column, folded: bool = False) -> Column:
+def company(value: Column, folded: int = False) -> Column:
     return _without(compact(value, folded), config.COMPANY_WORDS)
 
 
-def address(value: Column, folded: bool = False) -> Column:
+def address(value: Column, folded: int = False) -> Column:
     return F.array_join(F.transform(words(compact(value, folded)), lambda t: _lookup(config.STREET_WORDS, t)), " ")
 
 
-def postal(value: Column, folded: bool = False) -> Column:
+def postal(value: Column, folded: int = False) -> Column:
     """The first five-digit run, with its four-digit extension; empty if there is none."""
     return F.regexp_extract(_base(value, folded), config.POSTAL, 0)
 
@@ -121,7 +136,7 @@ def state_patterns() -> tuple[str, str, str]:
     return before, rf"(?i),\s*({codes})\s*(?:,|$)", f"(?:^| )({'|'.join(config.STATES)})(?: |$)"
 
 
-def state_in_address(value: Column, folded: bool = False) -> Column:
+def state_in_address(value: Column, folded: int = False) -> Column:
     text = _base(value, folded)
     before, comma, name = state_patterns()
     codes = [F.nullif(F.lower(F.regexp_extract(text, p, 1)), F.lit("")) for p in (before, comma)]
@@ -145,5 +160,5 @@ def street_core(address_norm: Column, city_norm: Column, state_norm: Column, pos
     return F.array_join(F.filter(before, lambda t: ~F.array_contains(gone, t)), " ")
 
 
-def is_yes(value: Column, folded: bool = False) -> Column:
+def is_yes(value: Column, folded: int = False) -> Column:
     return compact(value, folded).isin(*config.YES_WORDS)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.config import REASON_FUZZY, RULES
+from siteweave.functions.geo import CellFunction, hex_cell
 from siteweave.functions.similarity import token_set
-from siteweave.operators.consolidate import consolidate, joined
+from siteweave.operators.consolidate import cell_column, consolidate, joined
 
 
 def bucket_edges(logical: DataFrame, threshold: float = RULES.fuzzy_address) -> DataFrame:
@@ -48,17 +49,25 @@ def cluster_roots(logical: DataFrame) -> DataFrame:
     return bucket_edges(logical).groupBy("lat_round_4", "lon_round_4").applyInPandas(_roots, "logical_record_id string, root string")
 
 
-def fuzzy_dedupe(logical: DataFrame) -> DataFrame:
-    """Logical records of one source, consolidated again by the clusters of their buckets."""
-    held = logical.join(cluster_roots(logical), "logical_record_id", "left").withColumn("__key", F.coalesce("root", "logical_record_id"))
-    size = held.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.sort_array(F.collect_list(F.struct("ord", "logical_record_id"))).alias("__ids"))
+def fuzzy_dedupe(logical: DataFrame, cell: CellFunction = hex_cell) -> DataFrame:
+    """Logical records of one source, consolidated again by the clusters of their buckets.
+
+    Only records of clusters are consolidated. One that is alone would come out as it is, but for its number of members and
+    its cells, which are now those of its mean coordinates: that is set directly, and such records take no part in shuffles.
+    """
+    held = logical.join(cluster_roots(logical), "logical_record_id", "left")
+    alone = held.where("root IS NULL").drop("root", "cells_fine", "cells_coarse", "member_count")
+    alone = alone.withColumns({"member_count": F.lit(1).cast("long"), "collapsed_logical_record_ids": F.col("logical_record_id")})
+    alone = alone.withColumns({f"cells_{level}": F.array_compact(F.array(cell_column(cell, level))) for level in ("fine", "coarse")})
+    held = held.where("root IS NOT NULL")
+    ids = held.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("ord", "logical_record_id"))).alias("__ids")).withColumnRenamed("root", "logical_record_id")
     renamed = held.select(
-        "__key", "ord", "source", F.col("member_source_rows").alias("source_row"), F.col("source_primary_ids").alias("source_primary_id"), F.col("site_ids").alias("site_id"),
+        "root", "ord", "source", F.col("member_source_rows").alias("source_row"), F.col("source_primary_ids").alias("source_primary_id"), F.col("site_ids").alias("site_id"),
         F.col("datacenter_ids").alias("datacenter_id"), F.col("campus_ids").alias("campus_id"), F.col("campus_names").alias("campus_name"), "company_raw",
         "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw", "country_raw", "country_standard", "latitude", "longitude",
         "dedupe_reason",
     )
-    out = consolidate(renamed, "__key").join(size.withColumnRenamed("__key", "logical_record_id"), "logical_record_id")
-    reason = F.when(F.col("__n") > 1, F.concat("dedupe_reason", F.lit(REASON_FUZZY))).otherwise(F.col("dedupe_reason"))
-    ids = joined(F.array_distinct(F.transform("__ids", lambda x: x["logical_record_id"])))
-    return out.withColumns({"dedupe_reason": reason, "collapsed_logical_record_ids": ids}).drop("__n", "__ids")
+    out = consolidate(renamed, "root", cell).join(ids, "logical_record_id")
+    collapsed = joined(F.array_distinct(F.transform("__ids", lambda x: x["logical_record_id"])))
+    out = out.withColumns({"dedupe_reason": F.concat("dedupe_reason", F.lit(REASON_FUZZY)), "collapsed_logical_record_ids": collapsed}).drop("__ids")
+    return out.unionByName(alone.select(out.columns))

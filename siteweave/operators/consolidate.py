@@ -6,6 +6,8 @@ of a group meet. So a group with very many records is aggregated before it is sh
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,21 @@ LISTS = {
 }
 
 
+@lru_cache(4)
+def folded_value() -> Column:
+    return text.ascii_text(F.col("p.value"))
+
+
+@lru_cache(8)
+def cell_column(cell: geo.CellFunction, level: str) -> Column:
+    return cell(F.col("latitude"), F.col("longitude"), level)
+
+
 def group_values(df: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
     """(keys, field, value, n, first): how often each non-empty value occurs in its group, and where first."""
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
     long = df.select(*keys, F.col(order).alias("__at"), F.explode(pairs).alias("p"))
-    long = long.select(*keys, "__at", "p.field", text.ascii_text(F.col("p.value")).alias("value")).where("value <> ''")
+    long = long.select(*keys, "__at", "p.field", folded_value().alias("value")).where("value <> ''")
     return long.groupBy(*keys, "field", "value").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("first"))
 
 
@@ -51,12 +63,12 @@ def joined(values: Column, limit: int | None = None) -> Column:
     return F.array_join(F.when(F.size(values) > limit, F.concat(F.slice(values, 1, limit), F.array(more))).otherwise(values), " | ")
 
 
-def consolidate(df: DataFrame, key: str, reason: Column | None = None, cell=geo.hex_cell, limit: int = RULES.list_limit) -> DataFrame:  # noqa: ANN001
+def consolidate(df: DataFrame, key: str, cell: geo.CellFunction = geo.hex_cell, limit: int = RULES.list_limit) -> DataFrame:
     """One logical record for each value of ``key``; needs the canonical columns, country_standard, latitude, longitude, ord.
 
     The normalized fields are made anew from the consolidated raw values. ``ord`` is the first member's.
     """
-    held = df.withColumns({"cell_fine": cell(F.col("latitude"), F.col("longitude"), "fine"), "cell_coarse": cell(F.col("latitude"), F.col("longitude"), "coarse")})
+    held = df.withColumns({f"cell_{level}": cell_column(cell, level) for level in ("fine", "coarse")})
     fields = sorted({*MODES, *(f for f, _ in LISTS.values()), "source"})
     values = group_values(held, [key], "ord", fields)
     per_field = values.groupBy(key, "field").agg(mode_value().alias("mode"), unique_list().alias("list"))
@@ -87,7 +99,7 @@ def group_key(source: str) -> Column:
     return F.coalesce(F.when(text.is_yes(F.col("part_of_campus")), F.coalesce(told("campus:", "campus_id"), named)), told("dcid:", "datacenter_id"), by_row)
 
 
-def primary_dedupe(records: DataFrame, source: str) -> DataFrame:
+def primary_dedupe(records: DataFrame, source: str, cell: geo.CellFunction = geo.hex_cell) -> DataFrame:
     """Normalized records of one source, consolidated by their ids."""
     held = records.withColumns({"__key": group_key(source), "ord": F.col("source_row"), "dedupe_reason": F.lit(REASON[source])})
-    return consolidate(held, "__key")
+    return consolidate(held, "__key", cell=cell)

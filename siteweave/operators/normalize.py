@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteweave.config import COUNTRY
 from siteweave.functions import geo, text
 
 CANONICAL = [
@@ -42,29 +45,47 @@ def canonical_b(raw: DataFrame) -> DataFrame:
     return raw.select(*[values.get(c, F.lit("")).alias(c) for c in CANONICAL])
 
 
-def with_norms(df: DataFrame, with_country: bool = True) -> DataFrame:
-    """The normalized fields beside the raw ones. A missing postal code is looked for in the address."""
-    raw = ["company_raw", "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw", *(["country_raw"] if with_country else [])]
-    df = df.withColumns({f"__{c}": text.ascii_text(F.col(c)) for c in raw})  # folded once, read several times
-    f = {c: F.col(f"__{c}") for c in raw}
-    own = text.compact(f["postal_code_raw"], True)
+RAW = ["company_raw", "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw", "country_raw"]
+
+
+@lru_cache(2)
+def _norms(with_country: bool) -> tuple[list[dict[str, Column]], list[str]]:
+    """The steps of ``with_norms`` and the columns that go again. Built once: expressions by name belong to no table.
+
+    The raw fields are folded and compacted as one array by one expression each, not by one for every field.
+    """
+    raw = RAW if with_country else RAW[:-1]
+    folded = F.transform(F.array(*[F.col(c).cast("string") for c in raw]), text.ascii_text)
+    compacted = F.transform(F.col("__folded"), lambda t: text.compact(t, text.FOLDED))
+    f = {c: F.get("__folded", F.lit(k)) for k, c in enumerate(raw)}
+    w = {c: F.get("__words", F.lit(k)) for k, c in enumerate(raw)}
     fields = {
-        "company_norm": text.company(f["company_raw"], True),
-        "facility_owner_norm": text.company(f["facility_owner_raw"], True),
-        "facility_name_norm": text.compact(f["facility_name_raw"], True),
-        "street_address_norm": text.address(f["street_address_raw"], True),
-        "city_norm": text.compact(f["city_raw"], True),
-        "state_norm": text.state(f["state_raw"], True),
-        "postal_code_norm": F.coalesce(F.nullif(own, F.lit("")), text.compact(text.postal(f["street_address_raw"], True), True)),
+        "company_norm": text.company(w["company_raw"], text.COMPACT),
+        "facility_owner_norm": text.company(w["facility_owner_raw"], text.COMPACT),
+        "facility_name_norm": w["facility_name_raw"],
+        "street_address_norm": text.address(w["street_address_raw"], text.COMPACT),
+        "city_norm": w["city_raw"],
+        "state_norm": text.state(w["state_raw"], text.COMPACT),
+        "postal_code_norm": F.coalesce(F.nullif(w["postal_code_raw"], F.lit("")), text.compact(text.postal(f["street_address_raw"], text.FOLDED), text.FOLDED)),
         "latitude": geo.to_float(F.col("latitude_raw")),
         "longitude": geo.to_float(F.col("longitude_raw")),
     }
-    out = df.withColumns(({"country_standard": text.country(f["country_raw"], True)} if with_country else {}) | fields).drop(*[f"__{c}" for c in raw])
+    if with_country:
+        known = text.country(w["country_raw"], text.COMPACT)
+        fields["country_standard"] = F.when(known == COUNTRY, known).otherwise(f["country_raw"])
     lat, lon = F.col("latitude"), F.col("longitude")
-    return out.withColumns({"lat_trunc_3": geo.truncate3(lat), "lon_trunc_3": geo.truncate3(lon)}).withColumns(
-        {
-            "coord_trunc_3_key": geo.coordinate_key(F.col("lat_trunc_3"), F.col("lon_trunc_3")),
-            "lat_round_4": geo.round_half_even(lat, 4),
-            "lon_round_4": geo.round_half_even(lon, 4),
-        }
-    )
+    truncated = {"lat_trunc_3": geo.truncate3(lat), "lon_trunc_3": geo.truncate3(lon)}
+    last = {
+        "coord_trunc_3_key": geo.coordinate_key(F.col("lat_trunc_3"), F.col("lon_trunc_3")),
+        "lat_round_4": geo.round_half_even(lat, 4),
+        "lon_round_4": geo.round_half_even(lon, 4),
+    }
+    return [{"__folded": folded}, {"__words": compacted}, fields, truncated, last], ["__folded", "__words"]
+
+
+def with_norms(df: DataFrame, with_country: bool = True) -> DataFrame:
+    """The normalized fields beside the raw ones. A missing postal code is looked for in the address."""
+    steps, gone = _norms(with_country)
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(*gone)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.config import COUNTRY, RULES, Rules
+from siteweave.functions.geo import CellFunction, hex_cell
 from siteweave.operators import assign, blocking
 from siteweave.operators.cluster import fuzzy_dedupe
 from siteweave.operators.consolidate import primary_dedupe
@@ -23,19 +25,22 @@ def normalized(raw: DataFrame, source: str) -> DataFrame:
     return with_norms((canonical_a if source == "A" else canonical_b)(raw)).where(F.col("country_standard") == COUNTRY)
 
 
-def deduped(records: DataFrame, source: str) -> DataFrame:
+def deduped(records: DataFrame, source: str, cell: CellFunction = hex_cell) -> DataFrame:
     """Logical records: consolidated by ids, then by coordinates and addresses."""
-    return fuzzy_dedupe(cut(primary_dedupe(records, source)))
+    return fuzzy_dedupe(cut(primary_dedupe(records, source, cell)), cell)
 
 
 def unmatched(records: DataFrame, matches: DataFrame, side: str) -> DataFrame:
     return records.join(matches.select(F.col(f"{side}_ord").alias("ord")), "ord", "left_anti")
 
 
-def cell_pass(a: DataFrame, b: DataFrame, level: str, rules: Rules = RULES) -> DataFrame:
-    """Matches (a_ord, b_ord, cell, scores, match_stage, match_reason) of one cell pass."""
+def cell_pass(a: DataFrame, b: DataFrame, level: str, rules: Rules = RULES, predicate: Callable[[tuple], Column] = assign.pass_predicate) -> DataFrame:
+    """Matches (a_ord, b_ord, cell, scores, match_stage, match_reason) of one cell pass.
+
+    ``predicate`` makes the condition of an eligible pair, over the score columns, from the thresholds of the level.
+    """
     pairs = blocking.scored(blocking.cell_candidates(a, b, f"cells_{level}"), a, b, rules)
-    eligible = pairs.where(assign.pass_predicate(rules.fine if level == "fine" else rules.coarse))
+    eligible = pairs.where(predicate(rules.fine if level == "fine" else rules.coarse))
     stage = f"{level} cell"
     return assign.greedy(eligible, assign.by_scores).withColumns({"match_stage": F.lit(stage), "match_reason": assign.match_reason(stage), "manual_label": F.lit(None).cast("string")})
 
@@ -124,19 +129,35 @@ class Linkage:
         return out
 
     def tabs(self) -> dict[str, DataFrame]:
-        inner = ["core", "number"]
+        """The nine tabs: normalized rows as in their source, logical records by ordinal, matches by stage and score."""
+        own = lambda df: df.orderBy("ord").drop("core", "number")
+        stage = F.array_position(F.array(*map(F.lit, ("fine cell", "coarse cell", "manual review"))), F.col("match_stage"))
+        best = [stage, F.desc("combined_score"), F.desc("address_score"), "a_logical_id", "b_logical_id"]
+        unique = (F.col("review_label") == "Definitely unique").cast("int")
         return {
-            "summary": self.summary(), "a_normalized": self.a_us, "b_normalized": self.b_us, "a_deduped": self.a.drop(*inner), "b_deduped": self.b.drop(*inner),
-            "match_pairs": self.matches(), "manual_review": self.review(), "unmatched_a": self.left_a.drop(*inner), "unmatched_b": self.left_b.drop(*inner),
+            "summary": self.summary().orderBy("stage"), "a_normalized": self.a_us.orderBy("source_row"), "b_normalized": self.b_us.orderBy("source_row"),
+            "a_deduped": own(self.a), "b_deduped": own(self.b), "match_pairs": self.matches().orderBy(*best),
+            "manual_review": self.review().orderBy(unique, F.desc("combined_score"), "a_logical_id", "b_logical_id", "review_source"),
+            "unmatched_a": own(self.left_a), "unmatched_b": own(self.left_b),
         }
 
 
-def link(a_us: DataFrame, b_us: DataFrame, rules: Rules = RULES, logical: tuple[DataFrame, DataFrame] | None = None) -> Linkage:
-    """The cascade over normalized records; ``logical`` may bring logical records that are there already."""
-    a, b = (cut(blocking.with_core(x)) for x in (logical or (deduped(a_us, "A"), deduped(b_us, "B"))))
-    fine = cut(cell_pass(a, b, "fine", rules))
+def link(
+    a_us: DataFrame,
+    b_us: DataFrame,
+    rules: Rules = RULES,
+    logical: tuple[DataFrame, DataFrame] | None = None,
+    cell: CellFunction = hex_cell,
+    predicate: Callable[[tuple], Column] = assign.pass_predicate,
+) -> Linkage:
+    """The cascade over normalized records; ``logical`` may bring logical records that are there already.
+
+    ``cell`` and ``predicate`` replace the grid and the condition of the cell passes.
+    """
+    a, b = (cut(blocking.with_core(x)) for x in (logical or (deduped(a_us, "A", cell), deduped(b_us, "B", cell))))
+    fine = cut(cell_pass(a, b, "fine", rules, predicate))
     a1, b1 = cut(unmatched(a, fine, "a")), cut(unmatched(b, fine, "b"))
-    coarse = cut(cell_pass(a1, b1, "coarse", rules))
+    coarse = cut(cell_pass(a1, b1, "coarse", rules, predicate))
     a2, b2 = cut(unmatched(a1, coarse, "a")), cut(unmatched(b1, coarse, "b"))
     manual = cut(review_pass(a2, b2, rules))
     return Linkage(a_us, b_us, a, b, fine, coarse, manual, unmatched(a2, manual, "a"), unmatched(b2, manual, "b"))

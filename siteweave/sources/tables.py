@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siteweave.sources.xlsx import read_workbook
+
 SCHEMA_A = "`Site Id` string, `Company Name` string, `DC Name` string, Address string, City string, Country string, Latitude string, Longitude string"
 SCHEMA_B = (
     "`Datacenter ID` string, `Campus ID` string, `Campus Name` string, `Part of Campus?` string, Company string, `Facility Owner` string, `Datacenter Name` string, "
@@ -20,10 +22,7 @@ def read_raw(spark: SparkSession, path: str, schema: str, kind: str = "parquet",
     ``source_row`` column of their own, since Spark has no order of rows.
     """
     if kind == "xlsx":
-        from siteweave.sources.xlsx import WorkbookSource
-
-        spark.dataSource.register(WorkbookSource)
-        return spark.read.format("workbook").schema(schema + ", source_row long").option("sheet", sheet).load(path)
+        return read_workbook(spark, path, schema, sheet)
     if kind == "csv":
         return spark.read.schema(schema + ", source_row long").option("header", True).csv(path)
     raw = spark.read.parquet(path)

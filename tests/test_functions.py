@@ -85,3 +85,13 @@ def test_cells_are_stable_and_near(spark):
     df = spark.createDataFrame([(39.80012, -89.65017), (39.80019, -89.65011), (39.9, -89.65), (None, 1.0)], "lat double, lon double")
     cells = [r.x for r in df.select(geo.hex_cell(F.col("lat"), F.col("lon"), "fine").alias("x")).collect()]
     assert cells[0] == cells[1] != cells[2] and cells[3] is None
+
+
+def test_fold_is_exact_for_every_character(spark):
+    import sys
+    import unicodedata
+
+    fold = lambda t: unicodedata.normalize("NFKD", t.strip()).encode("ascii", "ignore").decode()
+    codes = [c for c in range(128, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b" for c in codes if fold(chr(c))] + ["".join(map(chr, codes[k : k + 400])) for k in range(0, len(codes), 400)]
+    assert column(spark, texts, text.ascii_text) == [fold(t) for t in texts]
