@@ -22,6 +22,16 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("doc"))
 
 
+def field(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unpacked(names: list[str], added: list[str]) -> list[Column]:
+    """The columns that ``packed`` held, but for those whose names are added anew."""
+    return [F.col("doc")[name].alias(name) for name in names if name not in added]
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """128 bits that stand for a row: equal for repeated rows, else different but for chance.
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import WHITE, ascii_lower, packed, row_key
+from siteweave.llm.common import WHITE, ascii_lower, packed, row_key, unpacked
 from siteweave.recovery import stored
 
 #: Found in at least so many documents, a key is a common line.
@@ -80,7 +80,7 @@ def mark_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     """``docs`` with ``__lines`` (long), ``__dropped`` (long) and ``__kept`` (string: the remaining lines joined by \\n)."""
     out = _marked(docs, min_docs, min_chars, keep_first)
     new = {"__lines": F.size("lines").cast("long"), "__dropped": (F.size("lines") - F.size("some")).cast("long"), "__kept": F.array_join("some", "\n")}
-    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in new], *[v.alias(k) for k, v in new.items()])
+    return out.select(*unpacked(docs.columns, list(new)), *[v.alias(k) for k, v in new.items()])
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:

@@ -3,12 +3,14 @@
 Targets are set from the aggregated sources alone. Every document of a source expects target / source size copies. The
 documents of a source stand in one line, their expected copies are summed along it, one random offset is added for the
 source, and a document is emitted once for every integer boundary that its own stretch crosses. The line is cut into
-strata of about ``STRATUM_ROWS`` rows by a hash of the id, so a source with a third of all rows is many windows, not one;
+strata of about ``STRATUM_ROWS`` rows by a hash of id and text, so a source with a third of all rows is many windows, not one;
 the sum at each stratum's start comes from the counts of the strata before it. Inside a stratum documents stand by size, so
 that the words taken stay near the target.
 
 Defined results: null text has size 0; null is a source of its own, last in order; repeated rows are rows of their own;
-sources without words, and an empty table, get target 0. Reruns agree: offsets and order come from hashes, not from chance.
+sources without words get target 0; an empty table gives an empty table. Reruns agree: offsets and order come from hashes of
+id and text, not from chance, so rows with null or equal ids are told apart by their texts. ``take`` returns the columns of
+``docs`` under any names; ``mix`` puts its four columns in the place of columns that are called so.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import word_count
+from siteweave.llm.common import field, packed, unpacked, word_count
 from siteweave.recovery import cut
 
 #: Weights of the sources in the order of their names, repeated as often as needed.
@@ -25,6 +27,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE, MOST = 1.5, 2.0
 #: Rows of a stratum, about.
 STRATUM_ROWS = 4096
+#: The columns that ``mix`` adds.
+ADDED = ["__size", "__source_size", "__target", "__copies"]
 
 
 def unit(text: Column) -> Column:
@@ -57,17 +61,23 @@ def _placed(docs: DataFrame, targets: DataFrame, stratum_rows: int) -> DataFrame
     own = targets.select(F.col("source").alias("__of"), F.col("source_size").alias("__source_size"), F.col("n_rows").alias("__n_rows"), F.col("target").alias("__target"))
     held = docs.join(own, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of")
     strata = F.ceil(F.col("__n_rows") / F.lit(float(stratum_rows)))
-    name = F.coalesce(F.col("__doc_id").cast("string"), F.lit(""))
+    name = F.concat(F.coalesce(F.col("__doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("__text"))
     return held.withColumn("__tie", F.md5(name)).withColumn("__stratum", F.floor(unit(name) * strata))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share: float = TOTAL_SHARE, most: float = MOST, stratum_rows: int = STRATUM_ROWS, seed: str = "mix") -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with __size, __source_size, __target and __copies, the times the mix takes the row."""
-    keyed = docs.select(*docs.columns, F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), word_count(F.col("text")).alias("__size"))
-    sized = cut(keyed.select("__doc_id", "__source", "__size"))
+    """``docs`` (doc_id, text, source, ...) with __size, __source_size, __target and __copies, the times the mix takes the row.
+
+    If there are no other columns, ``text`` isn't returned, and texts are read only once.
+    """
+    slim = set(docs.columns) <= {"doc_id", "source", "text"}
+    names = [c for c in docs.columns if not (slim and c == "text")]
+    held = F.struct(*[field(c).alias(c) for c in names]).alias("doc")
+    text = F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("__text")
+    keyed = docs.select(held, F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), word_count(F.col("text")).alias("__size"), text)
+    sized = cut(keyed if slim else keyed.drop("doc"))
     targets = cut(source_targets(sized.select(F.col("__source").alias("source"), F.col("__size").alias("size")), weights, total_share, most))
-    if set(docs.columns) <= {"doc_id", "source", "text"}:
-        keyed = sized.select(F.col("__doc_id").alias("doc_id"), F.col("__source").alias("source"), "*")
+    keyed = sized if slim else keyed
     counts = _placed(sized, targets, stratum_rows).groupBy("__source", "__stratum").count()
     before = Window.partitionBy("__source").orderBy("__stratum").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("__source").alias("__of"), F.col("__stratum").alias("__at"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
@@ -78,10 +88,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share: floa
     offset = unit(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col("__source"), F.lit("\x00"))))
     held = held.withColumn("__place", place).withColumn("__rate", rate).withColumn("__offset", offset)
     copies = F.floor(F.col("__place") * F.col("__rate") + F.col("__offset")) - F.floor((F.col("__place") - 1) * F.col("__rate") + F.col("__offset"))
-    return held.withColumn("__copies", copies).select(*[c for c in docs.columns if c in keyed.columns], "__size", "__source_size", "__target", "__copies")
+    return held.withColumn("__copies", copies).select(*unpacked(names, ADDED), *ADDED)
 
 
 def take(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with its own columns."""
-    mixed = mix(docs, **how)
-    return mixed.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    mixed = mix(packed(docs).select("doc", "doc.doc_id", "doc.text", "doc.source"), **how)
+    return mixed.where("__copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("doc.*")

@@ -9,7 +9,8 @@ The driver trains on a bounded sample: at most ``SAMPLE_ROWS`` labelled rows, th
 at most ``VOCABULARY`` words. Scoring reads every text whole. Labels, language, source and id are never inputs of a score.
 
 Defined results: null and empty texts are documents without terms and get the score of such; without labels of both classes
-every score is the share of good labels (1 without any label); repeated rows get equal scores.
+every score is the share of good labels (1 without any label); repeated rows get equal scores; null ids are never labelled;
+an empty table gives an empty table; ``score`` puts ``__score`` in the place of a column that is called so.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def shape(word: str) -> str:
     kinds = word.translate(_SHAPE)
     if not kinds.isascii():
         kinds = "".join(c if c.isascii() else "A" if c.isupper() else "a" if c.isalpha() else c for c in kinds)
-    return "\x01" + _RUN.sub(r"\1\1", kinds)[:16]
+    return "\x01" + _RUN.sub(r"\1\1", kinds)
 
 
 def index_vector(term: str, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -169,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, label: str
     """A model from at most ``rows`` labelled rows outside the held-out fold; their texts come to the driver."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg(F.min(label).alias("__label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").toPandas()  # bounded by ``rows``
+    sample = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")  # ``own`` is bounded by ``rows``
+    # ids may repeat: of their rows, too, only the first ``rows`` come to the driver
+    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows).toPandas()
     sample = sample.sort_values(["doc_id", "text"], na_position="first").sample(frac=1, random_state=11)
     model = Model()
     if len(sample):

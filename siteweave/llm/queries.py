@@ -53,7 +53,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     read = warc.round_trip(pages)
     kind = pages.schema["page_id"].dataType
-    return read.select(F.expr("nullif(record_id, 'null')").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    return read.select(F.col("record_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS tie FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_rows, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
 w AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap,
   CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE AS need FROM s),
@@ -93,8 +94,8 @@ f AS (SELECT *, sum(cap) OVER l + cap / weight * (sum(weight) OVER () - sum(weig
 g AS (SELECT *, (need - coalesce(sum(cap) FILTER (is_full) OVER (), 0)) / nullif(sum(weight) OVER () - coalesce(sum(weight) FILTER (is_full) OVER (), 0), 0) AS level FROM f),
 t AS (SELECT source, source_size, n_rows, CASE WHEN is_full THEN cap ELSE coalesce(least(cap, level * weight), 0) END AS target,
   CAST('0x' || substr(md5('mix:' || coalesce(source, chr(0))), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM g),
-p AS (SELECT d.doc_id, d.size, t.*, md5(coalesce(CAST(d.doc_id AS VARCHAR), '')) AS tie,
-  floor(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE * ceil(n_rows / 4096.0::DOUBLE)) AS stratum
+p AS (SELECT d.doc_id, d.size, d.tie, t.*,
+  floor(CAST('0x' || substr(d.tie, 1, 8) AS BIGINT) / 4294967296.0::DOUBLE * ceil(n_rows / 4096.0::DOUBLE)) AS stratum
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY stratum, size, tie, doc_id) AS place, coalesce(target / nullif(source_size, 0), 0) AS rate FROM p)
 SELECT doc_id, size, source_size, target, CAST(floor(place * rate + u) - floor((place - 1) * rate + u) AS BIGINT) * size AS taken FROM r

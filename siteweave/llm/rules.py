@@ -7,7 +7,8 @@ leave, and the next rule is grown, until no rule is good enough. What no rule co
 
 Defined results: null text has no words and fails the base rule; rows are judged one by one, so repeated rows get equal
 verdicts; without labelled rows of both classes the list is empty and the base rule alone decides; labels that contradict
-each other count as 0.
+each other count as 0; null ids are never labelled; an empty table gives an empty table. ``keep_good`` returns the columns
+of ``docs`` under any names; ``judge`` puts its three columns in the place of columns that are called so.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import WHITE
+from siteweave.llm.common import WHITE, packed
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -202,7 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Decision
     held = docs.select("doc_id", "text").join(sample, "doc_id")
     held = held.select("doc_id", "quality", statistics_column(F.col("text")).alias("s")).select("doc_id", "quality", "s.*")
     held = held.select("doc_id", "quality", *[F.expr(f"CAST({e} AS DOUBLE)").alias(name) for name, e in FEATURES.items()])
-    figures = held.toPandas()
+    # ids may repeat: of their rows, too, only the first ``rows`` come to the driver
+    figures = held.orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows).toPandas()
     return learn(figures.sort_values(["doc_id", *FEATURES]).sample(frac=1, random_state=5).reset_index(drop=True))
 
 
@@ -219,4 +221,4 @@ def judge(docs: DataFrame, rules: DecisionList) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: DecisionList) -> DataFrame:
     """The rows of ``docs`` that pass the base rule and the list."""
-    return judge(docs, rules).where("__kept").select(*docs.columns)
+    return judge(packed(docs).select("doc", "doc.text"), rules).where("__kept").select("doc.*")

@@ -17,7 +17,8 @@ with one minimizer form a span. Then:
 What is repeated returns to its row as intervals.
 
 Defined results: null text is empty; texts shorter than LENGTH lose nothing; rows are documents, so repeated rows repeat
-each other; overlapping occurrences in one text count; strings are judged on the input.
+each other; overlapping occurrences in one text count; strings are judged on the input; an empty table gives an empty table;
+``with_repeats`` puts its two columns in the place of columns that are called so, other columns pass under any names.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.llm.common import row_key
+from siteweave.llm.common import packed, row_key, unpacked
 from siteweave.recovery import cut
 
 #: Bytes of a repeated string, and bytes at a minimizer that select it; the minimizer is one of the first LENGTH - PREFIX + 1 places.
@@ -46,8 +47,12 @@ BUFFER = 2_000_000
 RUN_BYTES = 48_000_000
 #: Groups with more different spans leave the merging task.
 LOCAL_SPANS = 4096
-#: Rows whose suffixes give the bounds of the ranges, suffixes taken from each, and bytes of a bound.
-SAMPLE_ROWS, SAMPLE_EACH, BOUND = 2000, 8, 24
+#: A range has about so many bytes of suffixes, so a task's memory doesn't grow with the corpus; its number of ranges does.
+RANGE_BYTES, SUFFIX_BYTES = 128_000_000, 300
+#: Rows whose suffixes give the bounds of the ranges: at least so many, and so many for each range; suffixes taken from each.
+SAMPLE_ROWS, SAMPLE_OF_RANGE, SAMPLE_EACH = 2000, 2, 8
+#: Parts of 2 ** 20 that the hashes of rows are told apart by when rows are sampled.
+GRAIN = 1 << 20
 
 _BYTES = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -378,13 +383,18 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, prefix: int = PREF
     def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         taken: dict[int, list[bytes]] = {}
         for row, _, right, _ in _selected(batches, length, prefix):
-            taken.setdefault(row, []).append(right[:BOUND])
+            taken.setdefault(row, []).append(right[:prefix])
         own = [x for found in taken.values() for x in found[:: max(1, len(found) // SAMPLE_EACH)][:SAMPLE_EACH]]
         yield pd.DataFrame({"bound": own})
 
-    few = F.broadcast(picked.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_ROWS))  # bounded by SAMPLE_ROWS
-    seen = sorted(bytes(x.bound) for x in docs.join(few, "row").select("row", "text", "picks").mapInPandas(sampled, "bound binary").collect())
-    bounds = sorted({seen[k * len(seen) // parts] for k in range(1, parts)}) if seen else []
+    size = picked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("aggregate(picks, 0L, (a, x) -> a + length(x) div 4)")).alias("spans")).first()
+    ranges = max(parts, -(-(size["spans"] or 0) * SUFFIX_BYTES // RANGE_BYTES))
+    # a share of the rows by their hashes, about as many as the number of ranges asks for; bounds are whole prefixes, so a
+    # range is never asked to part suffixes that the merge must see together, and parts all others
+    share = -(-max(SAMPLE_ROWS, SAMPLE_OF_RANGE * ranges) * GRAIN // max(1, size["n"]))
+    some = lambda df: df.where(F.pmod(F.xxhash64("row", F.lit(11)), F.lit(GRAIN)) < min(share, GRAIN))
+    seen = sorted(bytes(x.bound) for x in some(docs).join(some(picked), "row").select("row", "text", "picks").mapInPandas(sampled, "bound binary").collect())
+    bounds = sorted({seen[k * len(seen) // ranges] for k in range(1, ranges)}) if seen else []
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple[bytes, bytes], list] = {}
@@ -393,8 +403,8 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, prefix: int = PREF
         def closed() -> pd.DataFrame:
             direct = [(row, struct.pack("<2q", start, start + len(k[0]) + len(k[1]))) for k, own in held.items() if len(own) > 1 for row, start in own]
             items = sorted(((k[0] + k[1], len(k[1]), len(own) > 1, *own[0]) for k, own in held.items()), key=lambda x: (x[0], x[1]))
-            out, low = [(row % parts, x, row, True) for row, x in direct], 0
-            places = [bisect_right(bounds, x[0][:BOUND]) for x in items]
+            out, low = [(row % ranges, x, row, True) for row, x in direct], 0
+            places = [bisect_right(bounds, x[0][:prefix]) for x in items]
             while low < len(items):
                 high = bisect_right(places, places[low], low)
                 out.append((places[low], pack_run(items[low:high]), 0, False))
@@ -445,10 +455,10 @@ def cut_out(text: str | None, intervals: list[bytes], windows: list[int], length
 
 def with_repeats(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, **how: int) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``__intervals`` and ``__windows``, empty where nothing is repeated."""
-    found = repeated_intervals(docs, length, prefix, **how).select(F.col("row").alias("__row"), F.col("intervals").alias("__intervals"), F.col("windows").alias("__windows"))
-    held = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))["a"]).join(found, "__row", "left")
-    none = {"__intervals": F.coalesce("__intervals", F.array().cast("array<binary>")), "__windows": F.coalesce("__windows", F.array().cast("array<long>"))}
-    return held.withColumns(none).select(*docs.columns, "__intervals", "__windows")
+    found = repeated_intervals(docs, length, prefix, **how)
+    held = packed(docs).withColumn("row", row_key(F.col("doc.doc_id"), F.col("doc.text"))["a"]).join(found, "row", "left")
+    new = {"__intervals": F.coalesce("intervals", F.array().cast("array<binary>")), "__windows": F.coalesce("windows", F.array().cast("array<long>"))}
+    return held.select(*unpacked(docs.columns, list(new)), *[v.alias(k) for k, v in new.items()])
 
 
 def digest_column(text: Column, intervals: Column, windows: Column, length: int = LENGTH) -> Column:

@@ -9,16 +9,19 @@ Of records with equal payloads of at least ``LEAST_REVISIT`` bytes, the one with
 payload; the others are revisits, which hold the HTTP header, the digest and the length of the payload, but not the payload.
 
 Defined results: null html is an empty payload; empty and short payloads are always responses; rows that repeat the smallest
-id are responses too; null ids are written as ``null``, and are revisits where an equal payload has an id; an empty table
-gives an empty archive table.
+id are responses too; any text can be an id, as ids are percent-encoded in their URNs; null ids have a URN of their own, and
+are revisits where an equal payload has an id; an empty table gives an empty archive table; other columns of the pages play
+no part.
 """
 
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,8 @@ from siteweave.recovery import cut
 LEAST_REVISIT = 100
 #: An archive is closed after so many payload bytes.
 ARCHIVE_BYTES = 4_000_000
+#: An exported file is closed before it gets longer.
+FILE_BYTES = 1_000_000_000
 #: The reader's piece.
 PIECE = 1 << 16
 
@@ -70,15 +75,27 @@ def _clean(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def write_record(record_id: str, url: str | None, payload: bytes, refers_to: str | None = None, level: int = 3) -> bytes:
+#: The URN of a row without an id.
+NO_ID = "<urn:no-page>"
+
+
+def _urn(page_id: str | None) -> str:
+    return NO_ID if page_id is None else f"<urn:page:{quote(page_id, safe='')}>"
+
+
+def _page_id(urn: str | None) -> str | None:
+    return None if urn is None or urn == NO_ID else unquote(urn.removeprefix("<urn:page:").removesuffix(">"))
+
+
+def write_record(record_id: str | None, url: str | None, payload: bytes, refers_to: str | None = None, level: int = 3) -> bytes:
     """A gzip member: a response, or a revisit of ``refers_to`` with the same payload."""
     digest = hashlib.sha256(payload).hexdigest()
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to is not None else 'response'}", f"WARC-Record-ID: <urn:page:{record_id}>", "WARC-Date: 2000-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to is not None else 'response'}", f"WARC-Record-ID: {_urn(record_id)}", "WARC-Date: 2000-01-01T00:00:00Z"]
     if url:
         head.append(f"WARC-Target-URI: {_clean(url)}")
     if refers_to is not None:
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To: {_urn(refers_to)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     block = http if refers_to is not None else http + payload
     head += [f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     gz = zlib.compressobj(level, zlib.DEFLATED, 31)
@@ -146,8 +163,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html", F.when(F.length(payload) >= LEAST_REVISIT, F.sha2(payload, 256)).alias("__digest"))
     first = pages.where("__digest IS NOT NULL").groupBy("__digest").agg(F.min("page_id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     first = first.where("__n > 1 AND __first IS NOT NULL").drop("__n")
-    again = pages.join(first, "__digest", "left")
-    return again.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("__first")), F.col("__first").cast("string")).alias("__refers_to"))
+    again = pages.where("__digest IS NOT NULL").join(first, "__digest", "left")
+    refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("__first")), F.col("__first").cast("string"))
+    short = pages.where("__digest IS NULL").select("page_id", "url", "html", F.lit(None).cast("string").alias("__refers_to"))  # these meet nobody
+    return again.select("page_id", "url", "html", refers_to.alias("__refers_to")).unionByName(short)
 
 
 def write_archives(pages: DataFrame) -> DataFrame:
@@ -158,7 +177,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
         for rows in batches:
             for page_id, url, html, refers_to in zip(rows["page_id"], rows["url"], rows["html"], rows["__refers_to"], strict=True):
                 payload = (html or "").encode()
-                done.append(write_record(page_id or "null", url, payload, refers_to))
+                done.append(write_record(page_id, url, payload, refers_to))
                 count, size = count + 1, size + len(payload)
                 if size >= ARCHIVE_BYTES:
                     yield pd.DataFrame({"n_records": [count], "archive": [b"".join(done)]})
@@ -183,7 +202,7 @@ def read_archives(archives: DataFrame, column: str = "archive") -> DataFrame:
                     full = record.kind == "response"
                     if not full and payload:
                         raise WarcError("a revisit with a payload")
-                    ids = [None if h not in record.headers else record.headers[h].removeprefix("<urn:page:").removesuffix(">") for h in ("warc-record-id", "warc-refers-to")]
+                    ids = [_page_id(record.headers.get(h)) for h in ("warc-record-id", "warc-refers-to")]
                     if full and len(payload) != int(http["content-length"]):
                         raise WarcError(f"{ids[0]}: the payload is not as long as its HTTP header says")
                     out.append((ids[0], record.headers.get("warc-target-uri"), record.kind, int(http["content-length"]), record.headers["warc-payload-digest"].partition(":")[2], ids[1], payload if full else None))
@@ -199,10 +218,33 @@ def read_archives(archives: DataFrame, column: str = "archive") -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """``read_archives`` over .warc.gz files of any store that Spark reads."""
+    """``read_archives`` over .warc.gz files of any store that Spark reads. Spark hands a file over as one value, of 2 GB at most."""
     return read_archives(spark.read.format("binaryFile").load(path).select("content"), "content")
 
 
+def write_files(archives: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> int:
+    """The archives (from ``write_archives``) as ``part-00000.warc.gz`` and so on, in any store; the number of files.
+
+    Members may follow one another, so a file is some archives in a row. An export: Python workers can't write to a store,
+    so the bytes go through the driver, one archive at a time.
+    """
+    jvm = archives.sparkSession.sparkContext._jvm
+    conf = archives.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    count, rows = 0, archives.select("archive").toLocalIterator()
+    row = next(rows, None)
+    while row is not None:
+        with tempfile.NamedTemporaryFile(suffix=".warc.gz") as local:
+            while row is not None and (not local.tell() or local.tell() + len(row.archive) <= file_bytes):
+                local.write(row.archive)
+                row = next(rows, None)
+            local.flush()
+            place = path(f"{folder}/part-{count:05d}.warc.gz")
+            place.getFileSystem(conf).copyFromLocalFile(False, True, path(f"file://{local.name}"), place)
+            count += 1
+    return count
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """The records of ``pages``, written to archives in the shared folder and read back from there."""
     return read_archives(cut(write_archives(pages)))

@@ -290,7 +290,7 @@ def test_warc_round_trip(spark):
     page = "<p>" + prose(1, 60) + "\r\n\r\nWARC/1.1\r\n"
     rows = [(5, "http://a", page), (3, "http://b\r\nx: y", page), (9, None, page), (4, "u", "short"), (6, "u", "short"), (7, "u", None), (None, "u", page), (8, "u", "Ä" * 90), (3, "http://b", page)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = sorted((r.record_id, r.record_type, r.refers_to, r.payload_bytes, r.payload_digest, r.payload and bytes(r.payload)) for r in warc.round_trip(pages).collect())
+    got = sorted((r.record_id or "null", r.record_type, r.refers_to, r.payload_bytes, r.payload_digest, r.payload and bytes(r.payload)) for r in warc.round_trip(pages).collect())
     want = []
     for i, _, h in rows:
         raw = (h or "").encode()
@@ -300,6 +300,19 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_ids_and_files(spark, tmp_path):
+    ids = ["null", "", "a>b\r\nc", "ü %20", None]
+    pages = spark.createDataFrame([(i, "u", "x" * 200 + str(k % 2), k) for k, i in enumerate(ids)], "page_id string, url string, html string, `__digest` int")
+    want = sorted(("" if i is None else "=" + i) for i in ids)
+    archives = warc.write_archives(pages)
+    assert warc.write_files(archives, str(tmp_path / "w")) == 1
+    rows = warc.read_files(spark, str(tmp_path / "w")).collect()
+    assert sorted("" if r.record_id is None else "=" + r.record_id for r in rows) == want
+    import gzip
+
+    assert gzip.open(tmp_path / "w" / "part-00000.warc.gz").read().startswith(b"WARC/1.1")
+
+
 def test_warc_reader_is_strict():
     whole = warc.write_record("1", "u", b"abc" * 50) + warc.write_record("2", None, b"")
     for piece in (1, 7, 100_000):
