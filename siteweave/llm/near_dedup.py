@@ -38,6 +38,10 @@ WORDS, PERCENT = 5, 80
 BINS, BAND = 128, 4
 #: Star rounds end when fewer than one of so many tested pairs was a link; the exact search does the rest.
 WORTH = 50
+#: A small table is kept in so many rows a task.
+TASK_ROWS = 4000
+#: In the exact search, values that more than one of so many nodes have are looked at last; bits of a node's bitmap.
+OFTEN, BITS = 16, 512
 #: A worker remembers the hashes of so many words.
 REMEMBERED = 300_000
 
@@ -131,22 +135,30 @@ def shingle_column(text: Column, words: int = WORDS) -> Column:
     return sets(text)
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """``df`` behind a checkpoint, in no more partitions than its rows fill: each shuffle of a small table writes a file for each of them."""
+    held = cut(df)
+    return held.coalesce(1 + held.count() // TASK_ROWS)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every u have one v, and is no v a u?"""
+    ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    held = edges.select(F.explode(ends).alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+    return held.where("up > 1 OR up > 0 AND down > 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``links`` (a, b): root is the smallest node reachable."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-    before = mark(edges)
-    while before[0]:
+    edges = _sized(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    while not _are_stars(edges):
+        few = lambda df, n=edges.count(): df.coalesce(1 + n // TASK_ROWS)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        edges = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        edges = few(few(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct())
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         small = edges.join(low, "u")
-        edges = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = mark(edges)
-        if now == before:
-            break
-        before = now
+        edges = _sized(few(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")).distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -172,7 +184,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda df, s: df.select(*[F.col(c).alias(c if c == s else f"{c}_{s}") for c in df.columns if c != "node"], F.col("node").alias(s))
     held = pairs.join(side(short, "a"), "a").join(side(short, "b"), "b")
     most = F.size(F.array_intersect("short_a", "short_b")) + F.least(F.col("n_a") - F.size("short_a"), F.col("n_b") - F.size("short_b"))
-    close = cut(held.where(near(F.least(most, "n_a", "n_b"), F.col("n_a") + F.col("n_b"))).select("a", "b"))
+    close = _sized(held.where(near(F.least(most, "n_a", "n_b"), F.col("n_a") + F.col("n_b"))).select("a", "b"))
     ends = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = sets.join(ends, "node", "left_semi")
     full = close.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
@@ -180,35 +192,47 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.where(near(both, F.size("set_a") + F.size("set_b"))).select("a", "b")
 
 
-def _keys(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, rank, root, d, early): keys, two of which meet for every pair of a bucket of ``rest`` that can be a link.
+def _near(a: str, b: str, percent: int) -> str:
+    """SQL: can nodes with the bitmaps and sizes ``bits`` and ``n`` under these names be linked?
+
+    Each bit in which two bitmaps differ is at least one shingle that only one of both sets has.
+    """
+    apart = f"aggregate(zip_with({a}bits, {b}bits, (x, y) -> bit_count(x ^ y)), 0, (s, c) -> s + c)"
+    return f"{100 + percent} * {apart} <= {100 - percent} * ({a}n + {b}n)"
 
-    Buckets that hang together have one reference set; d is the size of a node's symmetric difference D to it. For a link
-    of sets of n_a and n_b shingles, |D_a & D_b| >= (d_a + d_b) / 2 - h, with h = n_a * (100 - percent) / (2 * percent). With
-    the values of D in one order, rare ones first, the first common one is thus among the first h + 1 of the node with the
-    smaller d (``early``) and among the first 2h + 1 of the other one; where D may have nothing in common, a key of its own
-    stands for that.
+
+def _keys(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, rank, root, n, bits, d, early): keys, two of which meet for every pair of a bucket of ``rest`` that can be a link.
+
+    Buckets that hang together have one reference set; d is the size of a node's symmetric difference D to it, and bits a
+    bitmap of D. For a link of sets of n_a and n_b shingles, |D_a & D_b| >= (d_a + d_b) / 2 - h, with
+    h = n_a * (100 - percent) / (2 * percent). With the values of D in one order, the first common one is thus among the
+    first h + 1 of the node with the smaller d (``early``) and among the first 2h + 1 of the other one; where D may have
+    nothing in common, a key of its own stands for that. Any order would do; values that more than one of ``OFTEN`` nodes
+    around the reference have stand last, the rarest of them first. There are at most ``OFTEN`` times the mean d of them.
     """
     top = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
-    held = cut(rest.join(top, "bucket"))
-    labels = components(held.select(F.col("node").alias("a"), F.col("top.node").alias("b"))).withColumnRenamed("root", "label")
-    nodes = cut(held.groupBy("node").agg(F.first("rank").alias("rank"), F.first("root").alias("root")).join(labels, "node"))
-    lead = nodes.groupBy("label").agg(F.max("rank").alias("r")).select("label", F.col("r.node").alias("node"))
-    lead = lead.join(sets, "node").select("label", F.col("set").alias("lead"))
+    held = _sized(rest.join(top, "bucket").select("node", "rank", "root", F.col("top.node").alias("to")).distinct())
+    labels = components(held.select(F.col("node").alias("a"), F.col("to").alias("b"))).withColumnRenamed("root", "label")
+    nodes = _sized(held.groupBy("node").agg(F.first("rank").alias("rank"), F.first("root").alias("root")).join(labels, "node"))
+    lead = nodes.groupBy("label").agg(F.max("rank").alias("r"), F.count(F.lit(1)).alias("size")).select("label", "size", F.col("r.node").alias("node"))
+    lead = lead.join(sets, "node").select("label", "size", F.col("set").alias("lead"))
     own = nodes.join(sets, "node").join(lead, "label")
     own = own.withColumn("diff", F.concat(F.array_except("set", "lead"), F.array_except("lead", "set")))
-    own = cut(own.select("label", "node", "rank", "root", F.size("set").alias("n"), F.size("diff").alias("d"), "diff"))
-    each = own.select("label", "node", F.explode("diff").alias("x"))
-    often = each.groupBy("label", "x").agg(F.count(F.lit(1)).alias("df"))
-    sorted_ = each.join(often, ["label", "x"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("diff"))
+    own = _sized(own.select("label", "node", "rank", "root", F.size("set").alias("n"), "size", "diff"))
+    often = own.select("label", "size", F.explode("diff").alias("x")).groupBy("label", "size", "x").agg(F.count(F.lit(1)).alias("df"))
+    often = often.where(F.col("df") * OFTEN > F.col("size")).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("often"))
+    own = own.join(often.select("label", F.transform("often", lambda y: y["x"]).alias("often")), "label", "left")
+    often_or_none = F.coalesce("often", F.array().cast("array<bigint>"))
+    line = F.concat(F.array_sort(F.array_except("diff", often_or_none)), F.array_intersect(often_or_none, "diff"))
     # the bounds are whole numbers: floor(h) and floor(2h)
     most = lambda k: F.floor(F.col("n") * (100 - percent) * k / F.lit(2 * percent) + 1e-9).cast("int")
-    own = own.drop("diff").join(sorted_, "node", "left").withColumn("h", most(1)).withColumn("h2", most(2))
-    first = F.slice(F.coalesce("diff", F.array().cast("array<struct<df:bigint,x:bigint>>")), 1, F.col("h2") + 1)
-    first = F.transform(first, lambda y, i: F.struct(y["df"].alias("df"), F.xxhash64("label", y["x"]).alias("bucket"), (i <= F.col("h")).alias("early")))
-    none = F.array(F.struct(F.lit(2).cast("bigint").alias("df"), F.xxhash64("label", F.lit("none")).alias("bucket"), (F.col("d") <= F.col("h")).alias("early")))
-    keyed = own.select("node", "rank", "root", "d", F.explode(F.when(F.col("d") <= F.col("h2"), F.concat(first, none)).otherwise(first)).alias("k"))
-    return keyed.where("k.df > 1").select("k.bucket", "node", "rank", "root", "d", "k.early")
+    bits = f"transform(sequence(0, {BITS // 64 - 1}), w -> aggregate(diff, 0L, (acc, x) -> IF((shiftright(x, 6) & {BITS // 64 - 1}) = w, acc | shiftleft(1L, CAST(x & 63 AS INT)), acc)))"
+    own = own.select("label", "node", "rank", "root", "n", F.size("diff").alias("d"), most(1).alias("h"), most(2).alias("h2"), line.alias("line"), F.expr(bits).alias("bits"))
+    first = F.transform(F.slice("line", 1, F.col("h2") + 1), lambda x, i: F.struct(F.xxhash64("label", x).alias("bucket"), (i <= F.col("h")).alias("early")))
+    none = F.array(F.struct(F.xxhash64("label", F.lit("none")).alias("bucket"), (F.col("d") <= F.col("h")).alias("early")))
+    keyed = own.select("node", "rank", "root", "n", "bits", "d", F.explode(F.when(F.col("d") <= F.col("h2"), F.concat(first, none)).otherwise(first)).alias("k"))
+    return keyed.select("k.bucket", "node", "rank", "root", "n", "bits", "d", "k.early")
 
 
 def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -217,38 +241,43 @@ def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _late_links(rest: DataFrame, sets: DataFrame, links: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """``links`` and those that stars have not found: one more star for each key, then all pairs of two components."""
-    keys = cut(_keys(rest, sets, percent))
-    stars = cut(_pairs(keys, tested))
-    links = cut(links.unionByName(_confirmed(stars, sets, percent)))
-    keys = cut(_rooted(keys, links))
-    side = lambda s: keys.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "d", "early")])
-    met = side("a").where("early_a").join(side("b"), "bucket").where("root_a <> root_b AND (d_a < d_b OR d_a = d_b AND node_a < node_b)")
-    pairs = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    pairs = cut(pairs.join(tested.unionByName(stars), ["a", "b"], "left_anti"))
-    return cut(links.unionByName(_confirmed(pairs, sets, percent)))
+    """``links`` and those that stars have not found: one more star for each key, then all pairs of two components that can be links."""
+    keys = _sized(_keys(rest, sets, percent))
+    own = F.struct("root", "n", "bits")
+    center = keys.groupBy("bucket").agg(F.max("rank").alias("c"), F.max_by(own, "rank").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    center = center.where("r0 <> r1").select("bucket", F.col("c.node").alias("c_node"), "k")
+    star = keys.join(center, "bucket").where("root <> k.root").where(_near("", "k.", percent))
+    pair = lambda df, a, b: df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    stars = _sized(pair(star, "node", "c_node").join(tested, ["a", "b"], "left_anti"))
+    links = _sized(links.unionByName(_confirmed(stars, sets, percent)))
+    keys = _sized(_rooted(keys, links))
+    side = lambda s: keys.select("bucket", F.struct("node", "root", "d", "n", "bits").alias(s), F.col("early").alias(f"early_{s}"))
+    met = side("a").where("early_a").join(side("b"), "bucket").where("a.root <> b.root AND (a.d < b.d OR a.d = b.d AND a.node < b.node)").where(_near("a.", "b.", percent))
+    pairs = _sized(pair(met, "a.node", "b.node").join(tested.unionByName(stars), ["a", "b"], "left_anti"))
+    return _sized(links.unionByName(_confirmed(pairs, sets, percent)))
 
 
 def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(a, b): confirmed links between nodes. sketched: (row, node, n_shingles, bands) for the rows of ``docs``."""
-    nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.any_value("bands").alias("bands"))
-    keyed = nodes.select("node", "row", F.explode("bands").alias("bucket"))
+    nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(F.any_value("bands").alias("bands"))
+    keyed = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     crowd = cut(keyed.join(shared, "bucket"))
-    popular = crowd.groupBy("node").agg(F.sum("size").alias("pop"), F.first("row").alias("row"))
-    members = cut(crowd.join(popular.select("node", "pop"), "node").select("bucket", "node", F.struct("pop", "node").alias("rank")))
+    popular = crowd.groupBy("node").agg(F.sum("size").alias("pop"))
+    members = cut(crowd.join(popular, "node").select("bucket", "node", F.struct("pop", "node").alias("rank")))
 
-    own = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text").join(popular.select("row", "node"), "row")
+    first = sketched.select("node", "row").join(popular.select("node"), "node").groupBy("node").agg(F.min("row").alias("row"))
+    own = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text").join(first, "row")
     sets = cut(own.select("node", shingle_column(F.col("text"), words).alias("set")).groupBy("node").agg(F.any_value("set").alias("set")))
 
     links: DataFrame | None = None
     tested: DataFrame | None = None
     rest = members.withColumn("root", F.col("node"))
     while True:
-        pairs = cut(_pairs(rest, tested))
-        new = cut(_confirmed(pairs, sets, percent))
-        tested = pairs if tested is None else cut(tested.unionByName(pairs))
-        links = new if links is None else cut(links.unionByName(new))
+        pairs = _sized(_pairs(rest, tested))
+        new = _sized(_confirmed(pairs, sets, percent))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
         # the centres of this round step back; what stays are buckets that still join several components
         top = rest.groupBy("bucket").agg(F.max("rank").alias("top"))
         rest = rest.join(top, "bucket").where("rank < top").drop("top")
@@ -256,7 +285,7 @@ def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent
         if found:
             rest = _rooted(rest, links)
         span = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        rest = cut(rest.join(span.select("bucket"), "bucket", "left_semi").select("bucket", "node", "rank", "root"))
+        rest = _sized(rest.join(span.select("bucket"), "bucket", "left_semi").select("bucket", "node", "rank", "root"))
         if rest.isEmpty():
             return links
         if found * WORTH < pairs.count():
