@@ -36,7 +36,7 @@ def ascii_text(value: Column) -> Column:
     """Text without accents and other non-ASCII characters, stripped; null is empty. Integral numbers lose their ``.0``.
 
     Compatibility decomposition is done character by character, so three steps are exact: characters that become several,
-    looked up only in texts that have one; characters that become one; and the rest, which vanishes.
+    looked up only in texts that have one; characters that become one; and the rest, which vanishes. ASCII takes none of them.
     """
     one, to, white, several = _folds()
     text = F.btrim(F.coalesce(value.cast("string"), F.lit("")), F.lit(white))
@@ -47,9 +47,9 @@ def ascii_text(value: Column) -> Column:
         at = F.instr(F.lit("".join(several)), c)
         return F.when(at > 0, F.replace(F.substring(cells, (at - 1) * width + 1, F.lit(width)), F.lit("\0"), F.lit(""))).otherwise(c)
 
-    parts = F.transform(F.split(text, ""), part)
-    text = F.when(text.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in several) + "]"), F.array_join(parts, "")).otherwise(text)
-    return F.regexp_replace(F.translate(text, one, to), r"[^\x00-\x7F]", "")
+    parts = F.array_join(F.transform(F.split(text, ""), part), "")
+    spelt = F.when(F.translate(text, "".join(several), "") != text, parts).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spelt, one, to), r"[^\x00-\x7F]", "")).otherwise(text)
 
 
 def number_text(value: Column) -> Column:

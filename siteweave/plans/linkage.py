@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,19 +94,40 @@ def funnel_row(stage: str, a: DataFrame, b: DataFrame, matched: list[DataFrame],
     return row.select(F.lit(stage).alias("stage"), "a_records", "b_records", "matched", left["a"].alias("unique_a"), left["b"].alias("unique_b"), rest.cast("long").alias("still_unmatched"))
 
 
-@dataclass
 class Linkage:
-    """All results of a run, as tables behind checkpoints."""
-
-    a_us: DataFrame
-    b_us: DataFrame
-    a: DataFrame
-    b: DataFrame
-    fine: DataFrame
-    coarse: DataFrame
-    manual: DataFrame
-    left_a: DataFrame
-    left_b: DataFrame
+    """The results of a cascade. Each pass is made when it is first asked for, and kept behind a checkpoint."""
+
+    def __init__(self, a_us: DataFrame, b_us: DataFrame, a: DataFrame, b: DataFrame, rules: Rules, predicate: Callable[[tuple], Column]) -> None:
+        self.a_us, self.b_us, self.a, self.b, self.rules, self.predicate = a_us, b_us, a, b, rules, predicate
+
+    @cached_property
+    def fine(self) -> DataFrame:
+        return cut(cell_pass(self.a, self.b, "fine", self.rules, self.predicate))
+
+    @cached_property
+    def _after_fine(self) -> tuple[DataFrame, DataFrame]:
+        return unmatched(self.a, self.fine, "a"), unmatched(self.b, self.fine, "b")
+
+    @cached_property
+    def coarse(self) -> DataFrame:
+        return cut(cell_pass(*self._after_fine, "coarse", self.rules, self.predicate))
+
+    @cached_property
+    def _after_coarse(self) -> tuple[DataFrame, DataFrame]:
+        a, b = self._after_fine
+        return cut(unmatched(a, self.coarse, "a")), cut(unmatched(b, self.coarse, "b"))
+
+    @cached_property
+    def manual(self) -> DataFrame:
+        return cut(review_pass(*self._after_coarse, self.rules))
+
+    @property
+    def left_a(self) -> DataFrame:
+        return unmatched(self._after_coarse[0], self.manual, "a")
+
+    @property
+    def left_b(self) -> DataFrame:
+        return unmatched(self._after_coarse[1], self.manual, "b")
 
     def matches(self) -> DataFrame:
         found = self.fine.unionByName(self.coarse).unionByName(self.manual)
@@ -155,9 +176,4 @@ def link(
     ``cell`` and ``predicate`` replace the grid and the condition of the cell passes.
     """
     a, b = (cut(blocking.with_core(x)) for x in (logical or (deduped(a_us, "A", cell), deduped(b_us, "B", cell))))
-    fine = cut(cell_pass(a, b, "fine", rules, predicate))
-    a1, b1 = cut(unmatched(a, fine, "a")), cut(unmatched(b, fine, "b"))
-    coarse = cut(cell_pass(a1, b1, "coarse", rules, predicate))
-    a2, b2 = cut(unmatched(a1, coarse, "a")), cut(unmatched(b1, coarse, "b"))
-    manual = cut(review_pass(a2, b2, rules))
-    return Linkage(a_us, b_us, a, b, fine, coarse, manual, unmatched(a2, manual, "a"), unmatched(b2, manual, "b"))
+    return Linkage(a_us, b_us, a, b, rules, predicate)
