@@ -7,7 +7,6 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.config import COUNTRY
 from siteweave.functions import geo, text
 
 CANONICAL = [
@@ -23,10 +22,11 @@ def _id(raw: DataFrame, name: str) -> Column:
 def canonical_a(raw: DataFrame) -> DataFrame:
     """Source A: state and postal code are read from the address; the owner is the company."""
     site = _id(raw, "Site Id")
+    raw = raw.withColumn("__address", text.ascii_text(F.col("Address")))  # folded once, read several times
     values = {
         "source": F.lit("A"), "source_row": F.col("source_row").cast("long"), "source_primary_id": site, "site_id": site, "company_raw": F.col("`Company Name`"),
         "facility_owner_raw": F.col("`Company Name`"), "facility_name_raw": F.col("`DC Name`"), "street_address_raw": F.col("Address"), "city_raw": F.col("City"),
-        "state_raw": text.state_in_address(F.col("Address")), "postal_code_raw": text.postal(F.col("Address")), "country_raw": F.col("Country"),
+        "state_raw": text.state_in_address(F.col("__address"), text.FOLDED), "postal_code_raw": text.postal(F.col("__address"), text.FOLDED), "country_raw": F.col("Country"),
         "latitude_raw": F.col("Latitude"), "longitude_raw": F.col("Longitude"),
     }
     return raw.select(*[values.get(c, F.lit("")).alias(c) for c in CANONICAL])
@@ -45,7 +45,7 @@ def canonical_b(raw: DataFrame) -> DataFrame:
     return raw.select(*[values.get(c, F.lit("")).alias(c) for c in CANONICAL])
 
 
-RAW = ["company_raw", "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw", "country_raw"]
+RAW = ["company_raw", "facility_owner_raw", "facility_name_raw", "street_address_raw", "city_raw", "state_raw", "postal_code_raw"]
 
 
 @lru_cache(2)
@@ -54,7 +54,7 @@ def _norms(with_country: bool) -> tuple[list[dict[str, Column]], list[str]]:
 
     The raw fields are folded and compacted as one array by one expression each, not by one for every field.
     """
-    raw = RAW if with_country else RAW[:-1]
+    raw = RAW
     folded = F.transform(F.array(*[F.col(c).cast("string") for c in raw]), text.ascii_text)
     compacted = F.transform(F.col("__folded"), lambda t: text.compact(t, text.FOLDED))
     f = {c: F.get("__folded", F.lit(k)) for k, c in enumerate(raw)}
@@ -70,9 +70,10 @@ def _norms(with_country: bool) -> tuple[list[dict[str, Column]], list[str]]:
         "latitude": geo.to_float(F.col("latitude_raw")),
         "longitude": geo.to_float(F.col("longitude_raw")),
     }
-    if with_country:
-        known = text.country(w["country_raw"], text.COMPACT)
-        fields["country_standard"] = F.when(known == COUNTRY, known).otherwise(f["country_raw"])
+    first = {"__folded": folded}
+    if with_country:  # by itself: filters on it are pushed down, and shouldn't take the other fields with them
+        first["__country"] = text.ascii_text(F.col("country_raw"))
+        fields["country_standard"] = text.country(F.col("__country"), text.FOLDED)
     lat, lon = F.col("latitude"), F.col("longitude")
     truncated = {"lat_trunc_3": geo.truncate3(lat), "lon_trunc_3": geo.truncate3(lon)}
     last = {
@@ -80,7 +81,7 @@ def _norms(with_country: bool) -> tuple[list[dict[str, Column]], list[str]]:
         "lat_round_4": geo.round_half_even(lat, 4),
         "lon_round_4": geo.round_half_even(lon, 4),
     }
-    return [{"__folded": folded}, {"__words": compacted}, fields, truncated, last], ["__folded", "__words"]
+    return [first, {"__words": compacted}, fields, truncated, last], ["__folded", "__words", "__country"]
 
 
 def with_norms(df: DataFrame, with_country: bool = True) -> DataFrame:

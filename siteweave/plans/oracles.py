@@ -165,9 +165,10 @@ def normalized() -> str:
     return f"""sites AS MATERIALIZED ({SITES_SQL}),
 raw AS (SELECT source, CAST(source_row AS BIGINT) AS source_row, rec_id AS source_primary_id, company_raw, company_raw AS facility_owner_raw, facility_name_raw, street_address_raw, city_raw,
   {own.format(a=state_in_address('street_address_raw'), b='state_raw')} AS state_raw, {own.format(a=postal('street_address_raw'), b='postal_code_raw')} AS postal_code_raw,
-  country_raw, latitude, longitude FROM sites),
+  country_raw, latitude, longitude, campus_id, campus_name, part_of_campus FROM sites),
 norm AS MATERIALIZED (SELECT *, {country('country_raw')} AS country_standard, {norms()}, {cell('fine')} AS cell_fine, {cell('coarse')} AS cell_coarse FROM raw),
-us AS MATERIALIZED (SELECT *, source_row AS ord, CASE WHEN source = 'A' THEN 'site:' ELSE 'dcid:' END || source_primary_id AS key,
+us AS MATERIALIZED (SELECT *, source_row AS ord, CASE WHEN source = 'A' THEN 'site:' || source_primary_id WHEN {compact('part_of_campus')} = 'yes' AND {fold('campus_id')} <> '' THEN 'campus:' || campus_id
+    WHEN {compact('part_of_campus')} = 'yes' AND {compact('campus_name')} <> '' THEN concat_ws(':', 'campus_name', {compact('campus_name')}, city_norm, state_norm) ELSE 'dcid:' || source_primary_id END AS key,
   CASE WHEN source = 'A' THEN '{config.REASON['A']}' ELSE '{config.REASON['B']}' END AS dedupe_reason FROM norm WHERE country_standard = '{config.COUNTRY}')"""
 
 
