@@ -6,14 +6,12 @@ and hands it, read again, to the next. All stages but the last return the column
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from siteweave.llm import bpe, line_dedup, mixing, near_dedup, queries, rules
 from siteweave.llm.common import table
-from siteweave.recovery import shared_dir
+from siteweave.recovery import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other; each result lies in the shared folder and is what the next stage reads."""
-    place = f"{shared_dir(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
+    """The stages one after the other; each result lies in the shared folder, for as long as the driver lives, and is what the next stage reads."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{place}/{k}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir))
     return docs
