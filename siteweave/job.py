@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from siteweave.plans import linkage
+from siteweave.session import ship
 from siteweave.sources.sinks import write_tabs
 from siteweave.sources.tables import SCHEMA_A, SCHEMA_B, SHEET, read_raw
 
@@ -21,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--sheet", default=SHEET, help="sheet of the raw tables in their workbooks")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("siteweave").getOrCreate()
+    ship(spark)
     a, b = (linkage.normalized(read_raw(spark, path, schema, args.read, args.sheet), s) for path, schema, s in ((args.a, SCHEMA_A, "A"), (args.b, SCHEMA_B, "B")))
     found = linkage.link(a, b)
     tabs = found.tabs()

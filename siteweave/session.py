@@ -3,9 +3,28 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a cluster, once for each application; local workers import it from here."""
+    context = spark.sparkContext
+    if context.master.startswith("local") or context.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="siteweave-")) / "siteweave.zip"  # on the driver, which serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in here.rglob("*.py"):
+            out.write(path, path.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "siteweave") -> SparkSession:
     """A local session with adaptive execution; a cluster brings its own session instead."""
