@@ -266,7 +266,8 @@ def find_links(docs: DataFrame, sketched: DataFrame, words: int = WORDS, percent
     popular = crowd.groupBy("node").agg(F.sum("size").alias("pop"))
     members = cut(crowd.join(popular, "node").select("bucket", "node", F.struct("pop", "node").alias("rank")))
 
-    first = sketched.select("node", "row").join(popular.select("node"), "node").groupBy("node").agg(F.min("row").alias("row"))
+    # one row of each node first: equal copies, however many, never meet in the join
+    first = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")).join(popular.select("node"), "node")
     own = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text").join(first, "row")
     sets = cut(own.select("node", shingle_column(F.col("text"), words).alias("set")).groupBy("node").agg(F.any_value("set").alias("set")))
 
