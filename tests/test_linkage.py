@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siteweave.operators import assign, cluster, consolidate
+from siteweave.operators import assign, blocking, cluster, consolidate
 from siteweave.plans import linkage
 from siteweave.sources import sinks
 from siteweave.sources.tables import SCHEMA_A, SCHEMA_B
@@ -107,3 +107,42 @@ def test_rounds_are_sequential_greedy(spark, seed):
             used |= {("a", a), ("b", b)}
             wanted.add((a, b))
     assert {(r.a_ord, r.b_ord) for r in assign.greedy(df, assign.by_scores).collect()} == wanted
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_greedy_keeps_no_round_for_each_link_of_a_chain(spark, at_once, monkeypatch):
+    """Equal scores on all pairs outdo one another by ordinals, in a chain as long as the block."""
+    n, kept, real = 12, [], assign.stored
+    monkeypatch.setattr(assign, "stored", lambda df: kept.append(1) or real(df))
+    df = spark.range(n * n).selectExpr("id div 12 AS a_ord", "id % 12 AS b_ord", "80.0D AS combined_score", "1.0D AS address_score")
+    found = assign.greedy(df, assign.by_scores, at_once)
+    assert {(r.a_ord, r.b_ord) for r in found.collect()} == {(k, k) for k in range(n)}
+    if at_once == 1000:
+        assert len(kept) == 2  # the edges and one round
+
+
+def test_review_pass_is_greedy_over_all_scored_pairs(spark):
+    draw = random.Random(5)
+    text = "ord long, core string, number string, company_norm string, facility_owner_norm string, facility_name_norm string, city_norm string, state_norm string, postal_code_norm string"
+    sides = []
+    for n in (25, 20):
+        rows = []
+        for k in range(n):
+            number, company = draw.choice(["", "12", "14", "15"]), f"brand {draw.randint(1, 4)}"
+            rows.append((k, f"{number} {draw.choice(['main', 'oak'])} street".strip(), number, company, draw.choice([company, "zeta"]), draw.choice(["hall", "north hall"]), draw.choice("xy"), "tx", draw.choice(["", "1", "2"])))
+        sides.append(spark.createDataFrame(rows, text))
+    a, b = sides
+    scored = blocking.scored(blocking.review_candidates(a, b), a, b).where(assign.review_floor()).withColumn("label", assign.review_label()).where("label IS NOT NULL").collect()
+    used, wanted = set(), set()
+    for r in sorted(scored, key=lambda r: (-r.combined_score, r.a_ord, r.b_ord)):
+        if not {("a", r.a_ord), ("b", r.b_ord)} & used:
+            used |= {("a", r.a_ord), ("b", r.b_ord)}
+            wanted.add((r.a_ord, r.b_ord, r.combined_score, r.label))
+    above = [w[2] > assign.most_apart() for w in wanted]
+    assert any(above) and not all(above)
+    assert {(r.a_ord, r.b_ord, r.combined_score, r.manual_label) for r in linkage.review_pass(a, b).collect()} == wanted
+
+
+def test_small_tables_are_cleansed_by_all_cores(spark):
+    a = linkage.normalized(raw(spark, A, SCHEMA_A).coalesce(1), "A")
+    assert a.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
