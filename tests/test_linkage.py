@@ -88,6 +88,16 @@ def test_left_root_wins():
     assert set(cluster._roots(edge((0, 1), (1, 2)))["root"]) == {"r0"}
 
 
+def test_buckets_that_cross_batches_keep_their_roots():
+    import pandas as pd
+
+    rows = [(1.0, 1.0, 0, "p0", 1, "p1"), (1.0, 1.0, 1, "p1", 2, "p2"), (1.0, 2.0, 3, "p3", 4, "p4"), (2.0, 1.0, 5, "p5", 6, "p6")]
+    edges = pd.DataFrame(rows, columns=["lat_round_4", "lon_round_4", "a_ord", "a_id", "b_ord", "b_id"])
+    found = pd.concat(cluster._bucket_roots(edges[k : k + 1] for k in range(len(edges))))
+    assert dict(found.itertuples(index=False)) == {"p0": "p0", "p1": "p0", "p2": "p0", "p3": "p3", "p4": "p3", "p5": "p5", "p6": "p5"}
+    assert not len(list(cluster._bucket_roots(iter([]))))
+
+
 def test_ordered_values(spark):
     df = spark.createDataFrame([(1, k, v) for k, v in enumerate(["b", "a", "a", "b", "", None])] + [(2, k, f"v{k}") for k in range(1, 11)], "g int, k int, v string")
     values = consolidate.group_values(df, ["g"], "k", ["v"]).groupBy("g").agg(consolidate.mode_value().alias("m"), consolidate.joined(consolidate.unique_list(), 8).alias("u"), consolidate.first_value().alias("f"))
