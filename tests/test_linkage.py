@@ -156,3 +156,28 @@ def test_review_pass_is_greedy_over_all_scored_pairs(spark):
 def test_small_tables_are_cleansed_by_all_cores(spark):
     a = linkage.normalized(raw(spark, A, SCHEMA_A).coalesce(1), "A")
     assert a.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pair_is_scored_once_by_one_function(linked):
+    """Filters on the scores were pushed below them, and each of the five texts was a function of its own: ten Python workers in a task."""
+    pairs = blocking.review_pairs(linked.a, linked.b, fields=blocking.SCORED)
+    held = linkage.with_scores(pairs, linkage.RULES).where(assign.review_floor()).withColumn("label", assign.review_label()).where("label IS NOT NULL")
+    assert plan_of(held).count("ArrowEvalPython") == 1
+
+
+def test_summary_counts_each_table_once(linked):
+    plan = plan_of(linked.summary())
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("partial_count(1)") == 9
+
+
+def test_block_pairs_shuffle_records_once(linked, monkeypatch):
+    pairs = lambda: blocking.block_pairs(linked.a, linked.b, ["state_norm"], ["ord"])
+    few, found = plan_of(pairs()), sorted(map(tuple, pairs().select("a_ord", "b_ord").collect()))
+    assert few.count("BroadcastHashJoin") >= 2
+    monkeypatch.setattr(blocking, "BROADCAST", 0)
+    assert sorted(map(tuple, pairs().select("a_ord", "b_ord").collect())) == found
