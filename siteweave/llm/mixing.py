@@ -27,6 +27,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE, MOST = 1.5, 2.0
 #: Rows of a stratum, about.
 STRATUM_ROWS = 4096
+#: Rows of a table of sources or strata that is broadcast; larger ones are shuffled, and the documents with them.
+BROADCAST = 20_000
 #: The columns that ``mix`` adds.
 ADDED = ["__size", "__source_size", "__target", "__copies"]
 
@@ -56,6 +58,11 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, total
     return per.withColumn("target", target).select("source", "source_size", "n_rows", "target")
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast if it has few rows: the documents that it is joined with then stay where they are."""
+    return F.broadcast(df) if rows <= BROADCAST else df
+
+
 def _placed(docs: DataFrame, targets: DataFrame, stratum_rows: int) -> DataFrame:
     """docs with its source's figures and its stratum. docs: (__doc_id, __source, __size, ...)."""
     own = targets.select(F.col("source").alias("__of"), F.col("source_size").alias("__source_size"), F.col("n_rows").alias("__n_rows"), F.col("target").alias("__target"))
@@ -78,10 +85,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share: floa
     sized = cut(keyed if slim else keyed.drop("doc"))
     targets = cut(source_targets(sized.select(F.col("__source").alias("source"), F.col("__size").alias("size")), weights, total_share, most))
     keyed = sized if slim else keyed
+    n_sources, n_strata = targets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.ceil(F.col("n_rows") / F.lit(float(stratum_rows)))), F.lit(0))).first()
+    targets = _small(targets, n_sources)
     counts = _placed(sized, targets, stratum_rows).groupBy("__source", "__stratum").count()
     before = Window.partitionBy("__source").orderBy("__stratum").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("__source").alias("__of"), F.col("__stratum").alias("__at"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
-    held = _placed(keyed, targets, stratum_rows).join(starts, F.col("__source").eqNullSafe(F.col("__of")) & (F.col("__stratum") == F.col("__at"))).drop("__of", "__at")
+    held = _placed(keyed, targets, stratum_rows).join(_small(starts, n_strata), F.col("__source").eqNullSafe(F.col("__of")) & (F.col("__stratum") == F.col("__at"))).drop("__of", "__at")
     order = Window.partitionBy("__source", "__stratum").orderBy("__size", "__tie", "__doc_id")
     place = F.col("__start") + F.row_number().over(order)
     rate = F.coalesce(F.col("__target") / F.nullif(F.col("__source_size"), F.lit(0)), F.lit(0.0))

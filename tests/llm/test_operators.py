@@ -101,6 +101,17 @@ def test_mix_strata_and_take(spark):
     assert mixing.take(documents(spark, [None, "", " "])).count() == 0
 
 
+def test_mix_shuffles_documents_once(spark, monkeypatch):
+    """Joining the few sources and strata shuffled whole documents twice before the window did."""
+    docs = documents(spark, [prose(k, 20) for k in range(100)], lambda k: None if k % 10 == 0 else f"s{k % 3}")
+    out = mixing.take(docs, stratum_rows=7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    found = sorted(r.doc_id for r in out.collect())
+    monkeypatch.setattr(mixing, "BROADCAST", 0)
+    assert sorted(r.doc_id for r in mixing.take(docs, stratum_rows=7).collect()) == found
+
+
 # --- byte-level BPE
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
