@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from siteweave import recovery
 from siteweave.operators import assign, blocking, cluster, consolidate
 from siteweave.plans import linkage
 from siteweave.sources import sinks
@@ -181,3 +182,12 @@ def test_block_pairs_shuffle_records_once(linked, monkeypatch):
     assert few.count("BroadcastHashJoin") >= 2
     monkeypatch.setattr(blocking, "BROADCAST", 0)
     assert sorted(map(tuple, pairs().select("a_ord", "b_ord").collect())) == found
+
+
+def test_passes_give_back_the_drivers_memory(spark, monkeypatch):
+    """What the JVM frees outside its heap stays its own until it is trimmed; planning a pass takes some hundred MB of it."""
+    said, real = [], recovery.trimmed
+    monkeypatch.setattr(recovery, "trimmed", lambda s: said.append(real(s)))
+    a, b = (linkage.normalized(raw(spark, rows, schema), s) for rows, schema, s in ((A, SCHEMA_A, "A"), (B, SCHEMA_B, "B")))
+    linkage.link(a, b).review()
+    assert len(said) >= 12 and all("Trim native heap" in x for x in said)
