@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
+from siteweave.recovery import handed_back
+
 #: A worker remembers the ids of so many different pre-tokens; then it forgets them all and goes on.
 REMEMBERED = 150_000
 #: Texts are encoded in groups of about so many characters.
@@ -136,8 +138,9 @@ class Codec:
         return ids
 
     def forget(self) -> None:
-        """At the end of a task: the worker lives on, for other tasks."""
+        """At the end of a task: the worker lives on, for other tasks, of which some are other operators'."""
         self._known.clear()
+        handed_back()
 
     def encode(self, text: str | None) -> list[int]:
         return self._encode_group([text or ""])[0]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.llm.common import WHITE, packed, row_key
-from siteweave.recovery import cut
+from siteweave.recovery import cut, handed_back
 
 #: Words of a shingle, and the least share of common shingles in percent.
 WORDS, PERCENT = 5, 80
@@ -119,6 +119,7 @@ def sketch_column(text: Column, words: int = WORDS, bins: int = BINS, band: int
                 rows.append((len(own), node, bands(own, bins, band)) if len(own) else (0, None, None))
             yield pd.DataFrame(rows, columns=["n_shingles", "node", "bands"], index=texts.index)
         _known.clear()  # the worker lives on, for other tasks
+        handed_back()
 
     return sketched(text)
 
@@ -131,6 +132,7 @@ def shingle_column(text: Column, words: int = WORDS) -> Column:
         for texts in batches:
             yield pd.Series([shingles(t, words).view(np.int64) for t in texts], index=texts.index, dtype=object)
         _known.clear()
+        handed_back()
 
     return sets(text)
 

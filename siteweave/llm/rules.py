@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.llm.common import WHITE, packed
+from siteweave.recovery import handed_back
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -84,6 +85,7 @@ def statistics_column(text: Column) -> Column:
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([text_statistics(t) for t in texts], columns=STATISTICS, index=texts.index, dtype="int64")
+        handed_back()
 
     return counted(text)
 

@@ -3,6 +3,9 @@
 import collections
 import hashlib
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -135,6 +138,25 @@ def test_bpe_is_tiktoken(spark):
     assert row.n_tokens == len(got[0].ids) and row.ids_sha256 == hashlib.sha256(",".join(map(str, got[0].ids)).encode()).hexdigest()
 
 
+def test_bpe_hands_back_what_it_remembered():
+    """In a process of its own, as a worker is one: what was remembered stayed with the process when it was forgotten."""
+    code = f"""
+import ctypes, random, re
+import public_tokenizers
+from siteweave.llm import bpe
+private = lambda: sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+draw, own = random.Random(1), bpe.codec({RANKS!r}, public_tokenizers.PATTERN)
+for ids in own.encode_all(" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(40)) for _ in range(2500)):
+    pass
+own.forget()
+after = private()
+ctypes.CDLL(None).malloc_trim(0)
+print(after - private())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, check=True).stdout
+    assert float(out) < 4
+
+
 # --- media
 
 

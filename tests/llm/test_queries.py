@@ -47,3 +47,13 @@ def test_pipeline(spark):
     assert counts["line_dedup"][0] == counts["line_dedup"][1]
     assert counts["near_dedup"][1] <= counts["near_dedup"][0]
     assert counts["byte_bpe"][0] == counts["byte_bpe"][1] and docs.where("NOT round_trip").count() == 0
+
+
+def test_stages_with_python_workers_collect_garbage_first(spark):
+    """Their workers stood beside heaps that the stages before them had made grow to the limit."""
+    import corpus_pipeline
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    whole = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    docs, before = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string"), whole()
+    assert corpus_pipeline.encoding(spark, docs, "").first().round_trip and whole() > before
