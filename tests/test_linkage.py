@@ -191,3 +191,13 @@ def test_passes_give_back_the_drivers_memory(spark, monkeypatch):
     a, b = (linkage.normalized(raw(spark, rows, schema), s) for rows, schema, s in ((A, SCHEMA_A, "A"), (B, SCHEMA_B, "B")))
     linkage.link(a, b).review()
     assert len(said) >= 12 and all("Trim native heap" in x for x in said)
+
+
+def test_greedy_gives_back_what_its_edges_took(spark, monkeypatch):
+    """Plans and compiled code of the scores stayed in the driver while the rounds, and the join with their result, were planned."""
+    said, kept, real = [], [], assign.stored
+    monkeypatch.setattr(recovery, "trimmed", lambda s: said.append(len(kept)))
+    monkeypatch.setattr(assign, "stored", lambda df: kept.append(1) or real(df))
+    df = spark.createDataFrame([(1, 1, 90.0, 1.0), (1, 2, 95.0, 1.0)], "a_ord long, b_ord long, combined_score double, address_score double")
+    assert [(r.a_ord, r.b_ord) for r in assign.greedy(df, assign.by_scores).collect()] == [(1, 2)]
+    assert said == [1]  # when the edges are kept, before the first round
