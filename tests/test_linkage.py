@@ -194,7 +194,7 @@ def test_passes_give_back_the_drivers_memory(spark, monkeypatch):
 
 
 def test_greedy_gives_back_what_its_edges_took(spark, monkeypatch):
-    """Plans and compiled code of the scores stayed in the driver while the rounds, and the join with their result, were planned."""
+    """The driver collected and trimmed only after a whole pass, so not before the rounds and the join with their result were planned."""
     said, kept, real = [], [], assign.stored
     monkeypatch.setattr(recovery, "trimmed", lambda s: said.append(len(kept)))
     monkeypatch.setattr(assign, "stored", lambda df: kept.append(1) or real(df))
